@@ -152,7 +152,7 @@ def counter_rate(
 ) -> DataFrame:
     """Growth per second, summed by labels."""
     grown = counter_increase(samples, range_seconds, by, step_seconds, chunk_seconds)
-    return grown.withColumn("rate", F.col("increase") / range_seconds).drop("increase")
+    return grown.withColumn("rate", F.col("increase").cast("double") / range_seconds).drop("increase")
 
 
 # Gauges

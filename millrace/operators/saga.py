@@ -46,7 +46,7 @@ def parse_commands(messages: DataFrame, value: str = "value") -> DataFrame:
     )
     stated = F.coalesce(F.col("command.command_type"), F.lit(COMMAND_TYPE))
     error = (
-        F.when(F.col("command").isNull(), "unreadable")
+        F.when(F.try_parse_json(F.col(value).cast("string")).isNull(), "unreadable")
         .when(stated != COMMAND_TYPE, "unknown_command")
         .when(F.col("command.customer_id").isNull(), "missing:customer_id")
         .when(F.col("command.items").isNull(), "missing:items")

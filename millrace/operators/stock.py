@@ -234,7 +234,10 @@ def _outcomes(
         .groupBy("order_id", "offset")
         .agg(
             F.min_by(
-                "sku", F.when(F.col("_taken") + F.col("_asked") > 0, F.col("line_no"))
+                "sku",
+                F.when(
+                    F.col("_taken") + F.col("_asked") > 0, F.struct("line_no", "sku")
+                ),
             ).alias("missing_sku")
         )
         .withColumn("event_type", F.lit(OUT_OF_STOCK))

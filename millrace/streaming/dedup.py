@@ -53,32 +53,35 @@ def once_within_watermark(
     return events.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
-class _FirstOnly(StatefulProcessor):
-    """Emits the first row of a key and remembers the key for some time."""
+def _first_only(ttl_ms: int) -> StatefulProcessor:
+    """Emits the first row of a key and remembers the key for some time.
 
-    def __init__(self, ttl_ms: int):
-        self._ttl_ms = ttl_ms
+    Made inside a function so that it travels to the workers by value.
+    """
+
+    class FirstOnly(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._seen = handle.getValueState("seen", "seen BOOLEAN", ttl_ms)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._seen = handle.getValueState("seen", "seen BOOLEAN", self._ttl_ms)
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+            # The iterator has to be read to its end even when the key is known.
+            first = None
+            for row in rows:
+                first = first or row
+            if not self._seen.exists():
+                self._seen.update((True,))
+                yield first
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-        # The iterator has to be read to its end even when the key is known.
-        first = None
-        for row in rows:
-            first = first or row
-        if not self._seen.exists():
-            self._seen.update((True,))
-            yield first
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return FirstOnly()
 
 
 def first_with_ttl(df: DataFrame, keys: list[str], ttl_ms: int) -> DataFrame:
     """Custom-state form: a key counts as seen for ``ttl_ms`` of processing time."""
     return df.groupBy(*keys).transformWithState(
-        statefulProcessor=_FirstOnly(ttl_ms),
+        statefulProcessor=_first_only(ttl_ms),
         outputStructType=df.schema,
         outputMode="Append",
         timeMode="ProcessingTime",

@@ -24,42 +24,44 @@ _STATE = (
 _NEW = {"status": "CREATED", "customer_id": "", "total": 0.0, "currency": DEFAULT_CURRENCY}
 
 
-class _Snapshots(StatefulProcessor):
+def _snapshots(every: int) -> StatefulProcessor:
     """Keeps the state of one order and emits it after every n-th event.
 
     The state is one small row per order. Events of a micro-batch are taken in the
-    order of their offsets, whatever the order of the shuffle.
+    order of their offsets, whatever the order of the shuffle. Made inside a function
+    so that it travels to the workers by value.
     """
+    names, new = ATTRIBUTES, _NEW
 
-    def __init__(self, every: int):
-        self._every = every
+    class Snapshots(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self._order = handle.getValueState("order", _STATE)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._order = handle.getValueState("order", _STATE)
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
+            stored = self._order.get()
+            if stored is None:
+                n, current = 0, dict.fromkeys(names)
+            else:
+                n, current = stored[0], dict(zip(names, stored[1:]))
+            for row in sorted(rows, key=lambda r: (r["partition"], r["offset"])):
+                n += 1
+                current.update({a: row[a] for a in names if row[a] is not None})
+                if n % every == 0:
+                    shown = {a: new.get(a) if v is None else v for a, v in current.items()}
+                    yield Row(
+                        order_id=row["order_id"],
+                        partition=row["partition"],
+                        offset=row["offset"],
+                        version=row["version"],
+                        snapshot_at=row["occurred_at"],
+                        **shown,
+                    )
+            self._order.update((n, *[current[a] for a in names]))
 
-    def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-        stored = self._order.get()
-        if stored is None:
-            n, current = 0, dict.fromkeys(ATTRIBUTES)
-        else:
-            n, current = stored[0], dict(zip(ATTRIBUTES, stored[1:]))
-        for row in sorted(rows, key=lambda r: (r["partition"], r["offset"])):
-            n += 1
-            current.update({a: row[a] for a in ATTRIBUTES if row[a] is not None})
-            if n % self._every == 0:
-                shown = {a: _NEW.get(a) if v is None else v for a, v in current.items()}
-                yield Row(
-                    order_id=row["order_id"],
-                    partition=row["partition"],
-                    offset=row["offset"],
-                    version=row["version"],
-                    snapshot_at=row["occurred_at"],
-                    **shown,
-                )
-        self._order.update((n, *[current[a] for a in ATTRIBUTES]))
+        def close(self) -> None:
+            pass
 
-    def close(self) -> None:
-        pass
+    return Snapshots()
 
 
 def snapshot_stream(events: DataFrame, every: int = SNAPSHOT_EVERY) -> DataFrame:
@@ -70,7 +72,7 @@ def snapshot_stream(events: DataFrame, every: int = SNAPSHOT_EVERY) -> DataFrame
         *kept, F.col("occurred_at").alias("snapshot_at"), *ATTRIBUTES
     ).schema
     return rows.groupBy("order_id").transformWithState(
-        statefulProcessor=_Snapshots(every),
+        statefulProcessor=_snapshots(every),
         outputStructType=output,
         outputMode="Append",
         timeMode="None",
