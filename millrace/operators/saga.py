@@ -89,7 +89,8 @@ def payment_decisions(events: DataFrame, max_amount: float = MAX_AMOUNT) -> Data
     kind = F.when(accepted, "PaymentCompleted").otherwise("PaymentFailed")
     reason = F.concat(
         F.lit("amount "),
-        F.coalesce(F.col("total"), F.lit(0.0)).cast("string"),
+        # As a float is written: at least one decimal, no trailing zero after it.
+        F.regexp_replace(total.cast("string"), r"(\.\d)0$", "$1"),
         F.lit(f" exceeds {max_amount}"),
     )
     return first.select(

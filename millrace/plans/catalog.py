@@ -5,6 +5,7 @@ from millrace.plans import (
     cdc_queries,
     event_queries,
     ingest_queries,
+    metric_queries,
     silver_queries,
 )
 from millrace.plans.registry import CHECKS, QUERIES

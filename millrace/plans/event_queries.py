@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import eventlog, saga
+from millrace.operators.dedup import once_per_event
+from millrace.operators.running import Running, offset_chunk, running
 from millrace.operators.stock import reserve
 from millrace.plans import inputs
 from millrace.plans.cdc_queries import duplicated
 from millrace.plans.ingest_queries import place_order_messages
 from millrace.plans.inputs import table, table_stream
 from millrace.plans.registry import drained, plain_times, query
-from millrace.runtime import ROCKSDB_PROVIDER
+from millrace.runtime import ROCKSDB_PROVIDER, work_folder
+from millrace.sources.envelope import file_stream
 from millrace.streaming.snapshots import snapshot_stream
 
 _TYPE = """CASE event_type WHEN 'signup' THEN 'OrderCreated' WHEN 'purchase' THEN 'PaymentCompleted'
@@ -103,11 +106,11 @@ def _order_totals(lineitem: DataFrame) -> DataFrame:
 
 _TOTALS = """SELECT l_orderkey AS order_id, CAST(sum(CAST(l_quantity AS INT) * CAST(l_extendedprice AS DECIMAL(18,2)))
   AS DECIMAL(18,2)) AS total FROM lineitem GROUP BY 1"""
-_PAYMENTS = f"""SELECT order_id, 2 AS version,
+_PAYMENTS = rf"""SELECT order_id, 2 AS version,
   CASE WHEN total <= 200000 THEN 'PaymentCompleted' ELSE 'PaymentFailed' END AS event_type,
   CASE WHEN total <= 200000 THEN sha256('transaction:' || order_id) END AS transaction_id,
   CASE WHEN total <= 200000 THEN CAST(total AS DOUBLE) END AS amount,
-  CASE WHEN total > 200000 THEN 'amount ' || total || ' exceeds 200000.0' END AS reason FROM ({_TOTALS})"""
+  CASE WHEN total > 200000 THEN 'amount ' || regexp_replace(CAST(total AS VARCHAR), '(\.\d)0$', '\1') || ' exceeds 200000.0' END AS reason FROM ({_TOTALS})"""
 
 
 def _payments(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,10 +157,6 @@ def single_sku_demands(lineitem: DataFrame) -> DataFrame:
     holds the few lines of one order.
     """
     order = ["l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_suppkey", "l_quantity"]
-    from pyspark.sql import Window
-
-    from millrace.operators.running import Running, offset_chunk, running
-
     per_key = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("_n"))
     placed = running(
         per_key.withColumn("_all", F.lit(0)), ["_all"], ["l_orderkey"],
@@ -227,8 +226,6 @@ def order_states_once(spark: SparkSession, folder: str) -> DataFrame:
     """Events delivered twice leave the states as they are."""
     log = _log(spark, folder)
     twice = log.unionByName(log)
-    from millrace.operators.dedup import once_per_event
-
     return plain_times(eventlog.fold(once_per_event(twice)))
 
 
@@ -257,9 +254,6 @@ def order_snapshots_streamed(spark: SparkSession, folder: str) -> DataFrame:
     """The same snapshots from keyed state, as the events arrive."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     # Versions need the whole log, so the log is written first and then streamed.
-    from millrace.runtime import work_folder
-    from millrace.sources.envelope import file_stream
-
     path = f"{work_folder(spark, 'log')}/events"
     log = _log(spark, folder)
     log.write.parquet(path)

@@ -119,7 +119,7 @@ def order_events(events: DataFrame, offsets_per_chunk: int = OFFSETS_PER_CHUNK)
     def of(kind: str, value: Column) -> Column:
         return F.when(F.col("event_type") == kind, value)
 
-    event_id = F.col("event_id")
+    number = F.col("offset")
     return versioned.select(
         "event_id",
         "order_id",
@@ -128,14 +128,14 @@ def order_events(events: DataFrame, offsets_per_chunk: int = OFFSETS_PER_CHUNK)
         "event_type",
         "partition",
         "offset",
-        of("OrderCreated", F.concat(F.lit("c-"), event_id)).alias("customer_id"),
+        of("OrderCreated", F.concat(F.lit("c-"), number)).alias("customer_id"),
         of("OrderCreated", F.col("value")).alias("total"),
         of("OrderCreated", F.lit("EUR")).alias("currency"),
-        of("PaymentCompleted", F.concat(F.lit("t-"), event_id)).alias("transaction_id"),
+        of("PaymentCompleted", F.concat(F.lit("t-"), number)).alias("transaction_id"),
         of("PaymentCompleted", F.col("value")).alias("amount"),
-        of("StockReserved", F.concat(F.lit("r-"), event_id)).alias("reservation_id"),
-        of("OrderShipped", F.concat(F.lit("TRK-"), event_id)).alias("tracking_number"),
-        of("OrderCancelled", F.concat(F.lit("x-"), event_id)).alias("reason"),
+        of("StockReserved", F.concat(F.lit("r-"), number)).alias("reservation_id"),
+        of("OrderShipped", F.concat(F.lit("TRK-"), number)).alias("tracking_number"),
+        of("OrderCancelled", F.concat(F.lit("x-"), number)).alias("reason"),
     )
 
 
