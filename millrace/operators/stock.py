@@ -201,7 +201,7 @@ def _last_pass(bounded: DataFrame) -> DataFrame:
         lines["status"] = lines["order_id"].map(status)
         return lines
 
-    decided = open_lines.groupBy(F.lit(0)).applyInPandas(settle, open_lines.schema)
+    decided = open_lines.groupBy().applyInPandas(settle, open_lines.schema)
     return kept.unionByName(decided).drop("least")
 
 
