@@ -53,9 +53,12 @@ def strict_variant(line: Column) -> Column:
     """
     inside_array = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
     inside_object = F.try_parse_json(F.concat(F.lit('{"x":'), line, F.lit("}")))
-    return F.when(
-        inside_array.isNotNull() & inside_object.isNotNull(), F.try_parse_json(line)
-    )
+    return F.when(inside_array.isNotNull(), F.try_variant_get(inside_object, "$.x", "variant"))
+
+
+def is_object(line: Column) -> Column:
+    """Whether a line that is one JSON text is an object: its first sign tells."""
+    return line.rlike(r"^[ \t\r\n]*\{")
 
 
 def _field(record: Column, name: str, kind: str = "variant") -> Column:
@@ -98,12 +101,11 @@ def object_errors(record: Column, rules: RuleSet) -> Column:
     return F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
 
 
-def line_errors(record: Column, rules: RuleSet) -> Column:
+def line_errors(line: Column, record: Column, rules: RuleSet) -> Column:
     """Error codes of a non-blank line parsed by :func:`strict_variant`."""
-    is_object = F.schema_of_variant(record).startswith("OBJECT<")
     return (
         F.when(record.isNull(), F.array(F.lit(JSON_DECODE)))
-        .when(~is_object, F.array(F.lit(NOT_AN_OBJECT)))
+        .when(~is_object(line), F.array(F.lit(NOT_AN_OBJECT)))
         .otherwise(object_errors(record, rules))
     )
 

@@ -14,7 +14,7 @@ def routed(lines: DataFrame, rules: RuleSet = RuleSet(), line: str = "line") ->
     parsed = lines.withColumn("record", R.strict_variant(F.col(line)))
     judged = parsed.withColumn(
         "errors",
-        F.when(~R.is_blank(F.col(line)), R.line_errors(F.col("record"), rules)),
+        F.when(~R.is_blank(F.col(line)), R.line_errors(F.col(line), F.col("record"), rules)),
     )
     return judged.withColumn(
         "route", R.route(F.col(line), F.col("record"), F.col("errors"), rules)
@@ -33,24 +33,23 @@ def enriched_json(
     All input fields are kept and the ingestion fields override fields of the same
     name. Lines that are not objects carry their number and text instead.
     """
+    stamps = {
+        "_ingestion_timestamp": ingested_at, "_batch_id": batch_id, "_source_file": source_file,
+    }
     metadata = [
-        F.lit("_ingestion_timestamp"),
-        ingested_at.cast("string").cast("variant"),
-        F.lit("_batch_id"),
-        batch_id.cast("string").cast("variant"),
-        F.lit("_source_file"),
-        source_file.cast("string").cast("variant"),
+        part
+        for name, value in stamps.items()
+        for part in (F.lit(name), value.cast("string").cast("variant"))
     ]
     errors = [F.lit("_errors"), F.to_variant_object("errors")]
-    rejected = F.col("route") == "rejected"
-    is_object = F.schema_of_variant("record").startswith("OBJECT<")
-    added = F.when(rejected, F.create_map(*metadata, *errors)).otherwise(
-        F.create_map(*metadata)
-    )
-    fields = F.map_filter(
-        F.try_variant_get("record", "$", "map<string,variant>"),
-        lambda name, _: ~F.array_contains(F.map_keys(added), name),
-    )
+    fields = F.try_variant_get("record", "$", "map<string,variant>")
+
+    def document_of(added: list[Column], names: list[str]) -> Column:
+        kept = F.map_filter(fields, lambda name, _: ~name.isin(names))
+        return F.to_json(F.map_concat(kept, F.create_map(*added)))
+
+    valid = document_of(metadata, list(stamps))
+    rejected = document_of([*metadata, *errors], [*stamps, "_errors"])
     has_number = "lineno" in routed_lines.columns
     number = F.col("lineno") if has_number else F.lit(None).cast("bigint")
     unparsed = F.create_map(
@@ -58,8 +57,11 @@ def enriched_json(
         F.lit("_raw"), F.col(line).cast("variant"),
         *errors, *metadata,
     )
-    document = F.when(is_object, F.to_json(F.map_concat(fields, added))).otherwise(
-        F.to_json(unparsed)
+    parsed = F.col("record").isNotNull() & R.is_object(F.col(line))
+    document = (
+        F.when(~parsed, F.to_json(unparsed))
+        .when(F.col("route") == "rejected", rejected)
+        .otherwise(valid)
     )
     return routed_lines.withColumn("output", document)
 

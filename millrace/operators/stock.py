@@ -15,6 +15,8 @@ many tasks. Once few lines are open, one ordered pass settles them.
 
 from __future__ import annotations
 
+import itertools
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -96,6 +98,11 @@ def reserve(
         opening.withColumn("status", F.lit("fixed"))
     )
 
+    # Every round and the outcomes read the entries again, so they are stored once.
+    entries.write.parquet(f"{folder}/entries")
+    entries = spark.read.schema(entries.schema).parquet(f"{folder}/entries")
+    lines = entries.filter(F.col("kind") == "request").drop("kind", "status")
+
     round_no = 0
     while True:
         bounded = _with_bounds(entries, offsets_per_chunk)
@@ -182,21 +189,22 @@ def _last_pass(bounded: DataFrame) -> DataFrame:
     open_lines = bounded.filter(F.col("status") == "open").select(*names)
 
     def settle(lines: pd.DataFrame) -> pd.DataFrame:
+        lines = lines.sort_values(["offset", "order_id"], ignore_index=True)
+        rows = zip(lines["offset"], lines["order_id"], lines["kind"], lines["sku"],
+                   lines["delta"], lines["least"])
         taken: dict = {}
         status: dict = {}
-        for (_, order), group in lines.groupby(["offset", "order_id"], sort=True):
-            if group["kind"].iloc[0] == "release":
-                if status.get(order) == "fixed":
-                    for sku, delta in zip(group["sku"], group["delta"]):
-                        taken[sku] = taken.get(sku, 0) + delta
-                continue
-            enough = all(
-                least + taken.get(sku, 0) + delta <= 0
-                for sku, least, delta in zip(group["sku"], group["least"], group["delta"])
-            )
-            status[order] = "fixed" if enough else "refused"
-            if enough:
-                for sku, delta in zip(group["sku"], group["delta"]):
+        for (_, order), group in itertools.groupby(rows, key=lambda r: (r[0], r[1])):
+            moves = [(kind, sku, delta, least) for _, _, kind, sku, delta, least in group]
+            if moves[0][0] == "release":
+                happens = status.get(order) == "fixed"
+            else:
+                happens = all(
+                    least + taken.get(sku, 0) + delta <= 0 for _, sku, delta, least in moves
+                )
+                status[order] = "fixed" if happens else "refused"
+            if happens:
+                for _, sku, delta, _ in moves:
                     taken[sku] = taken.get(sku, 0) + delta
         lines["status"] = lines["order_id"].map(status)
         return lines

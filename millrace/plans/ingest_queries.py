@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.rules import RuleSet
+from millrace.functions.rules import RuleSet, is_blank
 from millrace.operators.ingest import enriched_json, routed, run_statistics
 from millrace.operators.saga import parse_commands
 from millrace.plans.inputs import raw_lines, table
@@ -67,7 +67,7 @@ def ingest_run_statistics(spark: SparkSession, folder: str) -> DataFrame:
 )
 def ingest_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Stored documents, read back from their JSON."""
-    judged = routed(raw_lines(spark, folder)).filter("route != 'blank'")
+    judged = routed(raw_lines(spark, folder).filter(~is_blank(F.col("line"))))
     documents = enriched_json(
         judged, F.lit("run-1"), F.lit("2024-01-01T00:00:00+00:00"), F.lit("events")
     )

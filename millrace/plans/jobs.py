@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.cdc import flatten_decoded, with_lineage
-from millrace.functions.rules import RuleSet
+from millrace.functions.rules import RuleSet, is_blank
 from millrace.operators.ingest import enriched_json, routed, run_statistics, with_status
 from millrace.schemas import CDC_ORDER, RUN_LOG
 from millrace.sources import envelope as E
@@ -63,7 +63,10 @@ def ingest_files(
     counted.write.mode("overwrite").parquet(places)
     splits = spark.read.schema(counted.schema).parquet(places)
 
-    judged = routed(with_line_numbers(lines, splits), rules).filter("route != 'blank'")
+    # Blank lines go before routing: a filter on the route would be pushed below it and
+    # repeat the parsing.
+    written_lines = with_line_numbers(lines, splits).filter(~is_blank(F.col("line")))
+    judged = routed(written_lines, rules)
     documents = enriched_json(
         judged, F.lit(batch_id), F.lit(started.isoformat()), F.col("source_file")
     )

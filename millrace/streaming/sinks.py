@@ -116,19 +116,14 @@ def time_partitioned(
 
 
 def write_time_partitioned(
-    df: DataFrame,
-    target: str,
-    ts: str = "kafka_ts",
-    by: tuple[str, ...] = ("topic",),
-    tasks_per_folder: int = 4,
+    df: DataFrame, target: str, ts: str = "kafka_ts", by: tuple[str, ...] = ("topic",)
 ) -> None:
-    """The same layout in batch. Rows of one hour gather in a few tasks, not one and
-    not all: that bounds both the number of files and the size of a busy hour."""
+    """The same layout in batch. The rebalance hint gathers the rows of a folder so that
+    files are few, and lets AQE split a busy hour and join quiet ones, by their size."""
     folders = [*by, "year", "month", "day", "hour"]
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(tasks_per_folder))
     (
         time_partitions(df, ts)
-        .repartition(*folders, spread)
+        .hint("rebalance", *folders)
         .write.partitionBy(*folders)
         .mode("append")
         .parquet(target)
