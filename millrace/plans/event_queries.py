@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import eventlog, saga
 from millrace.operators.dedup import once_per_event
-from millrace.operators.running import Running, offset_chunk, running
+from millrace.operators.running import Running, numbered, offset_chunk, running
 from millrace.operators.stock import reserve
 from millrace.plans import inputs
 from millrace.plans.cdc_queries import duplicated
@@ -153,8 +153,8 @@ def single_sku_demands(lineitem: DataFrame) -> DataFrame:
     """Order lines as one-line orders with a global place.
 
     The place of a line is its rank. Ranks come from the order key first: lines before
-    the key (a running sum of counts per key), then the rank within the key, which
-    holds the few lines of one order.
+    the key (a running sum of counts per key), then the rank within the key, counted in
+    chunks of parts.
     """
     order = ["l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_suppkey", "l_quantity"]
     per_key = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("_n"))
@@ -162,9 +162,11 @@ def single_sku_demands(lineitem: DataFrame) -> DataFrame:
         per_key.withColumn("_all", F.lit(0)), ["_all"], ["l_orderkey"],
         offset_chunk(F.col("l_orderkey"), 100_000), Running(sums={"_upto": F.col("_n")}),
     ).select("l_orderkey", (F.col("_upto") - F.col("_n")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order[1:]))
+    ranked = numbered(
+        lineitem, ["l_orderkey"], order[1:], offset_chunk(F.col("l_partkey"), 100_000), "_rank"
+    )
     return (
-        lineitem.withColumn("_rank", inside)
+        ranked
         .join(placed, "l_orderkey")
         .select(
             (F.col("_before") + F.col("_rank")).alias("order_id"),

@@ -71,7 +71,7 @@ def basket_by_sliding_window_stored(spark: SparkSession, folder: str) -> DataFra
 
 def _session_sql(final: bool) -> str:
     limit = f"WHERE window_end <= {_FINAL.format(delay='10 MINUTE')}" if final else ""
-    return f"""WITH p AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER u < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
+    return f"""WITH p AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER u <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh
         FROM events WINDOW u AS (PARTITION BY user_id ORDER BY event_id)),
     s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM p),
     w AS (SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id AS customer_id,
@@ -88,7 +88,7 @@ def customer_sessions(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("customer_sessions_stored", _session_sql(final=False))
 def customer_sessions_stored(spark: SparkSession, folder: str) -> DataFrame:
-    """The same without a watermark, and without one task per customer."""
+    """The same over the stored table, without one task per customer."""
     events = inputs.orders_stream(table(spark, folder, "events"))
     return _with_double(windows.sessions(events, amount="total_amount"), "amount")
 

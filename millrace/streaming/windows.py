@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.shaping import flatten_window
+from millrace.operators.running import Running, running, time_chunk
 from millrace.schemas import MONEY
 
 # Watermark and window lengths of the silver tables.
@@ -82,7 +83,14 @@ def sessions(
     watermark: str = WATERMARK,
     amount: str | None = None,
 ) -> DataFrame:
-    """Activity sessions per key, closed by a gap."""
+    """Activity sessions per key, closed by more than a gap without a row.
+
+    A stream uses Spark's session windows. Over a stored table those would bring all
+    rows of a key to one task, so there the start of the session is carried along in
+    chunks and the sessions are summed up by an aggregate with a partial step.
+    """
+    if not events.isStreaming:
+        return _stored_sessions(events, key, ts, gap, amount)
     measures = [F.count("*").alias("n_events")]
     if amount:
         measures.append(F.sum(F.col(amount).cast(MONEY)).alias("amount"))
@@ -94,6 +102,29 @@ def sessions(
     return flatten_window(counted)
 
 
+def _stored_sessions(
+    events: DataFrame, key: str, ts: str, gap: str, amount: str | None
+) -> DataFrame:
+    measures = {"n_events": F.count("*")}
+    if amount:
+        measures["amount"] = F.sum(F.col(amount).cast(MONEY))
+    moments = events.groupBy(key, F.col(ts).alias("_ts")).agg(
+        *[value.alias(name) for name, value in measures.items()]
+    )
+    length = F.expr(f"INTERVAL {gap}")
+    chunk = time_chunk(F.col("_ts"))
+    lagged = running(moments, [key], ["_ts"], chunk, Running(lags={"_before": F.col("_ts")}))
+    fresh = F.col("_before").isNull() | (F.col("_ts") > F.col("_before") + length)
+    started = running(
+        lagged, [key], ["_ts"], chunk,
+        Running(lasts={"window_start": F.when(fresh, F.col("_ts"))}),
+    )
+    return started.groupBy(key, "window_start").agg(
+        (F.max("_ts") + length).alias("window_end"),
+        *[F.sum(name).cast("bigint" if name == "n_events" else MONEY).alias(name) for name in measures],
+    ).select("window_start", "window_end", key, *measures)
+
+
 def counts_by_window(
     events: DataFrame,
     ts: str = "kafka_ts",
