@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm import decontaminate
 from millrace.llm.common import table
+from millrace.llm.linededup import repeated_lines
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.llm.simhash import near_duplicates
 
@@ -17,3 +19,17 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+@query("op3_decontamination", decontaminate.oracle())
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds a benchmark item, and how much of it."""
+    return decontaminate.contaminated(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line that goes, and the earlier line that stands for it."""
+    return repeated_lines(table(spark, folder, "documents"))
