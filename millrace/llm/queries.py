@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import decontaminate
-from millrace.llm.common import table
+from millrace.llm import decontaminate, quality
+from millrace.llm.common import table, word_count
 from millrace.llm.linededup import repeated_lines
+from millrace.llm.mixing import mixed
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.llm.simhash import near_duplicates
 
@@ -29,6 +30,34 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op5_mixing")
+def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document."""
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "source", word_count(F.col("text")).alias("words")
+    )
+    return mixed(docs, words=F.col("words")).select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.aggregate("pieces", F.lit(0).cast("bigint"), lambda s, p: s + p["words"]).alias("taken"),
+    )
+
+
+def ratings(labels: DataFrame) -> DataFrame:
+    """``(doc_id, grade)`` of the labels."""
+    return labels.select("doc_id", quality.grade(F.col("quality"), F.col("toxic")).alias("grade"))
+
+
+@query("op6_quality")
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that are kept, with their expected grade and probability."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, ratings(table(spark, folder, "labels")))
+    return quality.scored(docs, model).filter("top_probability >= 0.5").drop("text")
+
+
 @query("op8_line_dedup")
 def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every line that goes, and the earlier line that stands for it."""
