@@ -12,6 +12,8 @@ from millrace.llm.mixing import mixed
 from millrace.llm.pii import pseudonymise
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.llm.simhash import near_duplicates
+from millrace.llm.topk import search
+from millrace.llm.warc import archived
 
 
 @query("op1_simhash")
@@ -31,6 +33,20 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op2_warc")
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page as its archive record has it."""
+    return archived(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query("op7_top_k")
+def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best vectors for every hundredth one."""
+    return search(table(spark, folder, "embeddings"))
+
+
 #: Stands for the secret key that a user passes.
 EXAMPLE_KEY = b"an example key of 32 bytes......"
 
