@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, quality
+from millrace.llm import chat, decontaminate, licenses, quality
 from millrace.llm.common import stored, table, word_count
 from millrace.llm.linededup import repeated_lines
 from millrace.llm.mixing import mixed
@@ -92,6 +92,21 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_lines(table(spark, folder, "documents"))
 
 
+def file_paths(docs: DataFrame) -> DataFrame:
+    """Documents as files: source, thousands and hundreds of the doc_id are directories,
+    and the first of every hundred is their license file."""
+    no = F.col("doc_id")
+    name = F.when(no % 100 == 0, "LICENSE").otherwise(F.concat(no.cast("string"), F.lit(".txt")))
+    folders = [F.coalesce("source", F.lit("unknown")), *[F.floor(no / n).cast("string") for n in (1000, 100)]]
+    return docs.select("doc_id", F.concat_ws("/", *folders, name).alias("path"), "text")
+
+
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """The license of every document, its own or that of the nearest directory."""
+    return licenses.scan(file_paths(table(spark, folder, "documents")))
+
+
 def op10_chat_of(turns: DataFrame) -> DataFrame:
     """The turns and one conversation that says the control strings, formatted, stored
     and read back."""
