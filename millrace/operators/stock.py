@@ -4,21 +4,23 @@ An order takes its quantities if every one of its SKUs still has enough; otherwi
 it takes nothing and later, smaller orders may still succeed. So the outcome of an
 order depends on the outcomes of the earlier ones, SKU by SKU.
 
+Arrival is a total order: time (or offset), log partition, offset, order. A release
+counts if it comes after the request of its order, and the first one only; it then has
+the verdict of the request, so an order's two entries together never add stock.
+
 The work is done in rounds over all SKUs at once. For every undecided order two
 running totals per SKU bound what earlier orders have taken: only those already
 accepted (least), and those plus all undecided ones (most). Enough stock under the
 most means accepted; too little under the least means refused. The earliest
-undecided order of a SKU has equal bounds, so every round decides something, and in
-practice nearly everything. The totals run in chunks, so a hot SKU is spread over
-many tasks. Once few lines are open, one ordered pass settles them.
+undecided order has equal bounds, so every round decides something, and in practice
+the greater part. A round reads only what is still open, with what it knows to be taken,
+and what the round before accepted, so each entry is moved in as many rounds as it
+stays open. The totals run in chunks, so a hot SKU is spread over many tasks.
 """
 
 from __future__ import annotations
 
-import itertools
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.running import OFFSETS_PER_CHUNK, Running, offset_chunk, running
@@ -26,140 +28,150 @@ from millrace.runtime import work_folder
 
 RESERVED = "StockReserved"
 OUT_OF_STOCK = "StockOutOfStock"
-# Open lines that one task may settle; beyond it another round runs.
-LAST_PASS_LINES = 100_000
+# Width of a chunk where places are times in microseconds.
+MICROS_PER_CHUNK = 6 * 3600 * 1_000_000
+
+_PLACE = ["at", "partition", "offset"]
+_ORDER = [*_PLACE, "order_id", "kind"]
+_BEFORE_ALL = -(1 << 62)
 
-_OPENING_STOCK = -1
 
+def _placed(df: DataFrame) -> DataFrame:
+    """``df`` with all three columns of its place; the offset stands for a missing time."""
+    if "at" not in df.columns:
+        df = df.withColumn("at", F.col("offset"))
+    if "partition" not in df.columns:
+        df = df.withColumn("partition", F.lit(0))
+    return df.withColumns({c: F.col(c).cast("bigint") for c in _PLACE})
 
-def demands_of_paid_orders(events: DataFrame) -> DataFrame:
-    """Lines to reserve: items of the created order, at the place of its payment.
 
-    One aggregate per order brings both events together. Only the first payment of
-    an order counts.
+def demands_of_paid_orders(events: DataFrame, at: Column | None = None) -> DataFrame:
+    """Lines to reserve: items of the created order, at the place of its first payment.
+
+    ``at`` is the arrival as a whole number, say microseconds; without it the offset
+    orders the events of all log partitions. One aggregate per order brings both events
+    together.
     """
     kind = F.col("event_type")
-    place = F.struct("partition", "offset")
+    events = _placed(events if at is None else events.withColumn("at", at))
+    place = F.struct(*_PLACE)
     per_order = (
         events.filter(kind.isin("OrderCreated", "PaymentCompleted"))
         .groupBy("order_id")
         .agg(
             F.min_by("items", F.when(kind == "OrderCreated", place)).alias("items"),
-            F.min(F.when(kind == "PaymentCompleted", F.col("offset"))).alias("offset"),
+            F.min(F.when(kind == "PaymentCompleted", place)).alias("place"),
         )
-        .filter(F.col("items").isNotNull() & F.col("offset").isNotNull())
+        .filter(F.col("items").isNotNull() & F.col("place").isNotNull())
     )
     return per_order.select(
-        "order_id", "offset", F.posexplode("items").alias("line_no", "item")
-    ).select("order_id", "offset", "line_no", "item.sku", "item.quantity")
+        "order_id", "place.*", F.posexplode("items").alias("line_no", "item")
+    ).select("order_id", *_PLACE, "line_no", "item.sku", "item.quantity")
 
 
 def reserve(
     demands: DataFrame,
     stock: DataFrame,
     releases: DataFrame | None = None,
-    offsets_per_chunk: int = OFFSETS_PER_CHUNK,
-    last_pass_lines: int = LAST_PASS_LINES,
+    at_per_chunk: int = OFFSETS_PER_CHUNK,
 ) -> DataFrame:
     """``order_id, offset, event_type, missing_sku`` for every order.
 
-    ``demands``: order_id, offset (unique per order), line_no, sku, quantity > 0.
-    ``stock``: sku, quantity. ``releases``: order_id, offset at which a cancelled
-    order gives back what it had reserved.
+    ``demands``: order_id, its place, line_no, sku, quantity > 0. ``stock``: sku,
+    quantity. ``releases``: order_id and the places at which a cancelled order gives
+    back what it had reserved. A place is ``at, partition, offset``, or ``offset`` alone.
     """
     spark = demands.sparkSession
     folder = work_folder(spark, "stock")
 
     # Two lines of one SKU ask for their sum.
-    lines = demands.groupBy("order_id", "offset", "sku").agg(
+    lines = _placed(demands).groupBy("order_id", *_PLACE, "sku").agg(
         F.sum("quantity").cast("bigint").alias("delta"), F.min("line_no").alias("line_no")
     )
-    requests = lines.select(
-        "sku", "offset", "order_id", "line_no", "delta", F.lit("request").alias("kind")
-    )
+    zero = F.lit(0).cast("bigint")
+    entries = lines.select("sku", *_PLACE, "order_id", "line_no", "delta", F.lit("request").alias("kind"))
+    if releases is not None:
+        entries = entries.unionByName(_given_back(lines, _placed(releases)))
     opening = stock.select(
         "sku",
-        F.lit(_OPENING_STOCK).cast("bigint").alias("offset"),
+        *[F.lit(_BEFORE_ALL).cast("bigint").alias(c) for c in _PLACE],
         F.lit(None).cast(demands.schema["order_id"].dataType).alias("order_id"),
         F.lit(None).cast("int").alias("line_no"),
         (-F.col("quantity")).cast("bigint").alias("delta"),
         F.lit("stock").alias("kind"),
     )
-    entries = requests
-    if releases is not None:
-        given_back = lines.drop("offset").join(releases, "order_id")
-        entries = entries.unionByName(
-            given_back.select(
-                "sku", "offset", "order_id", "line_no",
-                (-F.col("delta")).alias("delta"), F.lit("release").alias("kind"),
-            )
-        )
-    entries = entries.withColumn("status", F.lit("open")).unionByName(
-        opening.withColumn("status", F.lit("fixed"))
+    entries = entries.withColumns({"least": zero, "status": F.lit("open")}).unionByName(
+        opening.withColumns({"least": zero, "status": F.lit("fixed")})
     )
 
     # Every round and the outcomes read the entries again, so they are stored once.
     entries.write.parquet(f"{folder}/entries")
     entries = spark.read.schema(entries.schema).parquet(f"{folder}/entries")
-    lines = entries.filter(F.col("kind") == "request").drop("kind", "status")
+    lines = entries.filter(F.col("kind") == "request").drop("kind", "status", "least")
 
-    round_no = 0
+    now, accepted, round_no = entries, entries.filter(F.col("status") == "fixed"), 0
     while True:
-        bounded = _with_bounds(entries, offsets_per_chunk)
         table = f"{folder}/round={round_no}"
-        _settled(bounded).write.partitionBy("status").parquet(table)
-        after = spark.read.schema(_round_schema(bounded)).parquet(table)
-        entries = after.filter(F.col("status").isin("open", "fixed"))
-        n_open = after.filter(F.col("status") == "open").count()
-        if n_open == 0:
-            break
-        if n_open <= last_pass_lines:
-            table = f"{folder}/last"
-            _last_pass(_with_bounds(entries, offsets_per_chunk)).write.partitionBy(
-                "status"
-            ).parquet(table)
-            entries = (
-                spark.read.schema(after.schema).parquet(table).filter("status = 'fixed'")
-            )
+        _settled(_with_bounds(now, at_per_chunk)).write.partitionBy("status").parquet(table)
+        after = spark.read.schema(now.schema).parquet(table)
+        accepted = accepted.unionByName(after.filter(F.col("status") == "fixed"))
+        if after.filter(F.col("status") == "open").isEmpty():
             break
+        now = after.filter(F.col("status").isin("open", "fixed"))
         round_no += 1
 
-    accepted = entries.filter(F.col("kind") == "request").select("order_id").distinct()
-    return _outcomes(lines, accepted, entries, offsets_per_chunk)
+    return _outcomes(lines, accepted, at_per_chunk)
 
 
-def _round_schema(bounded: DataFrame):
-    return bounded.drop("least", "most").schema
+def _given_back(lines: DataFrame, releases: DataFrame) -> DataFrame:
+    """Entries of the first release of each order after its request."""
+    own = lines.groupBy("order_id").agg(F.min(F.struct(*_PLACE)).alias("_asked"))
+    first = (
+        releases.join(own, "order_id")
+        .filter(F.struct(*_PLACE) > F.col("_asked"))
+        .groupBy("order_id")
+        .agg(F.min(F.struct(*_PLACE)).alias("_place"))
+        .select("order_id", "_place.*")
+    )
+    return lines.drop(*_PLACE).join(first, "order_id").select(
+        "sku", *_PLACE, "order_id", "line_no",
+        (-F.col("delta")).alias("delta"), F.lit("release").alias("kind"),
+    )
+
 
+def _with_bounds(entries: DataFrame, at_per_chunk: int) -> DataFrame:
+    """Least and most taken from each SKU before each entry, opening stock deducted.
 
-def _with_bounds(entries: DataFrame, offsets_per_chunk: int) -> DataFrame:
-    """Least and most taken from each SKU before each entry, opening stock deducted."""
+    ``least`` of an open entry already has what earlier rounds accepted; the entries
+    that the last round accepted, status fixed, are added to it here.
+    """
+    zero = F.lit(0).cast("bigint")
     fixed = F.col("status") == "fixed"
     totals = running(
         entries,
         ["sku"],
-        ["offset"],
-        offset_chunk(F.col("offset"), offsets_per_chunk),
+        _ORDER,
+        offset_chunk(F.col("at"), at_per_chunk),
         Running(
             sums={
-                "least": F.when(fixed, F.col("delta")).otherwise(F.lit(0).cast("bigint")),
-                "most": F.col("delta"),
+                "_new": F.when(fixed, F.col("delta")).otherwise(zero),
+                "_open": F.when(fixed, zero).otherwise(F.col("delta")),
             }
         ),
     )
-    return totals.withColumns(
-        {
-            "least": F.when(fixed, F.col("least") - F.col("delta")).otherwise(F.col("least")),
-            "most": F.col("most") - F.col("delta"),
-        }
+    least = F.col("least") + F.col("_new")
+    return (
+        totals.filter(~fixed)
+        .withColumn("least", least)
+        .withColumn("most", F.col("least") + F.col("_open") - F.col("delta"))
+        .drop("_new", "_open")
     )
 
 
 def _settled(bounded: DataFrame) -> DataFrame:
-    """Entries with the status they have after this round."""
-    open_lines = bounded.filter(F.col("status") == "open")
+    """Open entries with the status they have after this round."""
     verdicts = (
-        open_lines.filter(F.col("kind") == "request")
+        bounded.filter(F.col("kind") == "request")
         .groupBy("order_id")
         .agg(
             F.bool_and(F.col("most") + F.col("delta") <= 0).alias("_sure"),
@@ -170,71 +182,35 @@ def _settled(bounded: DataFrame) -> DataFrame:
             F.when(F.col("_sure"), "fixed")
             .when(F.col("_lacking"), "refused")
             .otherwise("open")
-            .alias("_verdict"),
+            .alias("status"),
         )
     )
-    decided = (
-        open_lines.join(verdicts, "order_id")
-        .withColumn("status", F.col("_verdict"))
-        .drop("_verdict")
+    return bounded.drop("status", "most").join(verdicts, "order_id").select(
+        "sku", *_PLACE, "order_id", "line_no", "delta", "kind", "least", "status"
     )
-    kept = bounded.filter(F.col("status") == "fixed")
-    return kept.unionByName(decided).drop("least", "most")
-
 
-def _last_pass(bounded: DataFrame) -> DataFrame:
-    """Decides the few lines still open, in order, in one task."""
-    names = [c for c in bounded.columns if c != "most"]
-    kept = bounded.filter(F.col("status") == "fixed").select(*names)
-    open_lines = bounded.filter(F.col("status") == "open").select(*names)
 
-    def settle(lines: pd.DataFrame) -> pd.DataFrame:
-        lines = lines.sort_values(["offset", "order_id"], ignore_index=True)
-        rows = zip(lines["offset"], lines["order_id"], lines["kind"], lines["sku"],
-                   lines["delta"], lines["least"])
-        taken: dict = {}
-        status: dict = {}
-        for (_, order), group in itertools.groupby(rows, key=lambda r: (r[0], r[1])):
-            moves = [(kind, sku, delta, least) for _, _, kind, sku, delta, least in group]
-            if moves[0][0] == "release":
-                happens = status.get(order) == "fixed"
-            else:
-                happens = all(
-                    least + taken.get(sku, 0) + delta <= 0 for _, sku, delta, least in moves
-                )
-                status[order] = "fixed" if happens else "refused"
-            if happens:
-                for _, sku, delta, _ in moves:
-                    taken[sku] = taken.get(sku, 0) + delta
-        lines["status"] = lines["order_id"].map(status)
-        return lines
-
-    decided = open_lines.groupBy().applyInPandas(settle, open_lines.schema)
-    return kept.unionByName(decided).drop("least")
-
-
-def _outcomes(
-    lines: DataFrame, accepted: DataFrame, fixed: DataFrame, offsets_per_chunk: int
-) -> DataFrame:
+def _outcomes(lines: DataFrame, fixed: DataFrame, at_per_chunk: int) -> DataFrame:
     """Events of all orders; refused ones name the first line that lacked stock.
 
     The refused lines join the accepted entries with a zero quantity, so one running
     total tells what was left when each of them was looked at.
     """
+    accepted = fixed.filter(F.col("kind") == "request").select("order_id").distinct()
     refused = lines.join(accepted, "order_id", "left_anti")
     asked = refused.select(
-        "sku", "offset", "order_id", "line_no",
+        "sku", *_PLACE, "order_id", "line_no", F.lit("request").alias("kind"),
         F.col("delta").alias("_asked"), F.lit(0).cast("bigint").alias("delta"),
     )
     taken = fixed.select(
-        "sku", "offset", "order_id", "line_no",
+        "sku", *_PLACE, "order_id", "line_no", "kind",
         F.lit(None).cast("bigint").alias("_asked"), "delta",
     )
     looked_at = running(
         taken.unionByName(asked),
         ["sku"],
-        ["offset"],
-        offset_chunk(F.col("offset"), offsets_per_chunk),
+        _ORDER,
+        offset_chunk(F.col("at"), at_per_chunk),
         Running(sums={"_taken": F.col("delta")}),
     )
     missing = (
