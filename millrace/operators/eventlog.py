@@ -126,8 +126,8 @@ def at_version(events: DataFrame, version: int) -> DataFrame:
 
 def replay_order(log: DataFrame, order_id: object) -> DataFrame:
     """State of one order from the log as it stands now, each event counted once."""
-    bounded = read_until(log, end_offsets(log))
-    return fold(once_per_event(bounded.filter(F.col("order_id") == F.lit(order_id))))
+    own = read_until(log, end_offsets(log)).filter(F.col("order_id") == F.lit(order_id))
+    return fold(once_per_event(own))
 
 
 def snapshots(
