@@ -45,8 +45,12 @@ def unwrap(df: DataFrame, table: Column | None = None) -> DataFrame:
     """``{before, after, source, op, ts_ms}`` to one flat row per change.
 
     Deletes keep the last known row and are marked ``__deleted='true'``; rows with
-    neither image (tombstones) are not emitted.
+    neither image (tombstones) are not emitted. Without ``table`` the name is that of the
+    source, or of its connector where the source has no table.
     """
+    if table is None:
+        named = "table" in df.schema["source"].dataType.names
+        table = F.col("source.table" if named else "source.name")
     deleted = F.col("op") == DELETE_OP
     image = F.when(deleted, F.col("before")).otherwise(F.col("after"))
     kept = [c for c in df.columns if c not in ("before", "after", "source", "op", "ts_ms")]
@@ -58,7 +62,7 @@ def unwrap(df: DataFrame, table: Column | None = None) -> DataFrame:
             "_image.*",
             F.when(deleted, "true").otherwise("false").alias("__deleted"),
             F.col("op").alias("__op"),
-            (F.col("source.name") if table is None else table).alias("__table"),
+            table.alias("__table"),
             F.col("source.ts_ms").alias("__source_ts_ms"),
             F.col("source.lsn").alias("__source_lsn"),
         )

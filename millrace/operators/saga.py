@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.rules import strict_variant
 from millrace.functions.shaping import items_total
 from millrace.operators.dedup import first_per_key
 from millrace.schemas import MONEY, PLACE_ORDER
@@ -45,10 +46,13 @@ def parse_commands(messages: DataFrame, value: str = "value") -> DataFrame:
         & i["unit_price"].isNotNull(),
     )
     stated = F.coalesce(F.col("command.command_type"), F.lit(COMMAND_TYPE))
+    whole = strict_variant(F.col(value).cast("string"))
+    customer = F.schema_of_variant(F.try_variant_get(whole, "$.customer_id", "variant"))
     error = (
-        F.when(F.try_parse_json(F.col(value).cast("string")).isNull(), "unreadable")
+        F.when(whole.isNull(), "unreadable")
         .when(stated != COMMAND_TYPE, "unknown_command")
         .when(F.col("command.customer_id").isNull(), "missing:customer_id")
+        .when(customer != "STRING", "invalid:customer_id")
         .when(F.col("command.items").isNull(), "missing:items")
         .when(~F.coalesce(item_ok, F.lit(False)), "invalid:items")
     )

@@ -140,8 +140,14 @@ def order_events(events: DataFrame, offsets_per_chunk: int = OFFSETS_PER_CHUNK)
 
 
 def messages(events: DataFrame) -> DataFrame:
-    """Framed CDC messages, some of them broken in each way a frame can be."""
+    """Framed CDC messages, some of them broken in each way a frame or its text can be."""
     event_id = F.col("event_id")
+    broken = (
+        F.when(event_id % 2 == 0, '{"order_id"')
+        .when(event_id % 3 == 0, '{"order_id":5,"total_amount":"abc"}')
+        .when(event_id % 5 == 0, '{"order_id":7} trailing')
+        .otherwise('{"status":"no order"}')
+    )
     document = F.to_json(
         F.struct(
             F.col("user_id").cast("int").alias("order_id"),
@@ -159,7 +165,7 @@ def messages(events: DataFrame) -> DataFrame:
         .when(event_id % 17 == 0, F.lit(bytes(4)))
         .when(event_id % 13 == 0, framing.add_frame(F.lit(""), SCHEMA_ID))
         .when(event_id % 11 == 0, F.encode(document, "UTF-8"))
-        .when(event_id % 7 == 0, framing.add_frame(F.lit('{"order_id"'), SCHEMA_ID))
+        .when(event_id % 7 == 0, framing.add_frame(broken, SCHEMA_ID))
         .otherwise(framed)
     )
     return events.select(

@@ -47,7 +47,8 @@ CDC_ORDER = struct(
     "__op STRING, __table STRING, __source_ts_ms BIGINT, __source_lsn BIGINT"
 )
 CDC_SOURCE = struct(
-    "version STRING, connector STRING, name STRING, ts_ms BIGINT, lsn BIGINT, txId BIGINT"
+    "version STRING, connector STRING, name STRING, ts_ms BIGINT, lsn BIGINT, txId BIGINT, "
+    "table STRING"
 )
 CUSTOMERS = struct(
     "customer_id INT, email STRING, first_name STRING, last_name STRING, "

@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import framing
+from millrace.functions.rules import strict_variant
 from millrace.schemas import ENVELOPE
 
 UNDECODABLE = "undecodable"
+_CORRUPT = "_corrupt"
 
 
 def kafka_stream(
@@ -72,10 +74,19 @@ def topics_matching(envelope: DataFrame, pattern: str) -> DataFrame:
 
 
 def json_payload(schema: T.StructType):
-    """Decoder of framed UTF-8 JSON."""
-    return lambda payload: F.from_json(
-        F.decode(payload, "UTF-8"), schema, {"mode": "PERMISSIVE"}
-    )
+    """Decoder of framed UTF-8 JSON: null unless the whole payload is one JSON text and
+    every field that is present has the type of the schema."""
+    marked = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+
+    def decoder(payload: Column) -> Column:
+        text = payload.cast("string")
+        parsed = F.from_json(text, marked, options)
+        whole = F.is_valid_utf8(text) & strict_variant(text).isNotNull()
+        fields = F.struct(*[parsed[f.name].alias(f.name) for f in schema.fields])
+        return F.when(whole & parsed.isNotNull() & parsed[_CORRUPT].isNull(), fields)
+
+    return decoder
 
 
 def avro_payload(avro_schema: str):
@@ -88,18 +99,14 @@ def avro_payload(avro_schema: str):
 def decode(envelope: DataFrame, decoder, required: list[str]) -> DataFrame:
     """Envelope with ``data`` decoded and ``error_class, error_message`` where it failed.
 
-    A payload counts as undecodable when every required field comes out null, since
-    permissive decoders answer broken input with a struct of nulls.
+    A payload counts as undecodable when it comes out null or any required field does.
     """
     broken = framing.frame_error(F.col("value"))
     data = F.when(broken.isNull(), decoder(framing.payload(F.col("value"))))
     decoded = envelope.withColumn("data", data)
-    empty = F.col("data").isNull()
-    all_null = None
+    undecodable = F.col("data").isNull()
     for name in required:
-        test = F.col(f"data.{name}").isNull()
-        all_null = test if all_null is None else all_null & test
-    undecodable = empty if all_null is None else empty | all_null
+        undecodable = undecodable | F.col(f"data.{name}").isNull()
     error = F.coalesce(broken, F.when(undecodable, UNDECODABLE))
     return decoded.select(
         F.col("key").cast("string").alias("kafka_key"),
