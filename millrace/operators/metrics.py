@@ -18,7 +18,10 @@ from millrace.operators.running import SECONDS_PER_CHUNK, Running, running, time
 
 @dataclass(frozen=True)
 class AlertRule:
-    """Fires once ``value <op> threshold`` has held for ``hold_seconds``."""
+    """Fires once ``value <op> threshold`` has held for ``hold_seconds``.
+
+    ``labels`` selects series by (name, value) pairs.
+    """
 
     name: str
     metric: str
@@ -26,6 +29,7 @@ class AlertRule:
     threshold: float
     hold_seconds: int
     cluster_sum: bool
+    labels: tuple[tuple[str, str], ...] = ()
 
 
 # Alert rules, threshold catalogue, lag bands and panel columns.
@@ -38,7 +42,7 @@ ALERT_RULES = (
         "KafkaActiveControllerCountInvalid",
         "kafka_controller_kafkacontroller_activecontrollercount", "!=", 1, 60, True,
     ),
-    AlertRule("KafkaBrokerDown", "up", "==", 0, 60, False),
+    AlertRule("KafkaBrokerDown", "up", "==", 0, 60, False, (("job", "kafka-brokers"),)),
     AlertRule(
         "KafkaOfflinePartitions",
         "kafka_controller_kafkacontroller_offlinepartitionscount", ">", 0, 30, True,
@@ -46,12 +50,14 @@ ALERT_RULES = (
 )
 THRESHOLDS = (
     ("kafka_server_replicamanager_underreplicatedpartitions", ">", 0.0),
-    ("kafka_controller_kafkacontroller_activecontrollercount", "!=", 1.0),
     ("kafka_network_requestmetrics_requesthandleravgidlepercent", "<", 30.0),
     ("kafka_network_requestmetrics_networkprocessoravgidlepercent", "<", 30.0),
     ("kafka_consumergroup_lag", ">", 10000.0),
-    ("jvm_memory_heap_used_percent", ">", 80.0),
+    ("jvm_gc_collection_time_ms", ">", 500.0),
 )
+SUM_THRESHOLDS = (("kafka_controller_kafkacontroller_activecontrollercount", "!=", 1.0),)
+HEAP_METRIC = "jvm_memory_heap_used_bytes"
+HEAP_SHARE = 0.8
 LAG_BANDS = ((10_000, "critical"), (1_000, "high"), (100, "elevated"))
 LAG_ATTENTION = 100
 STATUS_PANEL = {
@@ -61,6 +67,8 @@ STATUS_PANEL = {
     "kafka_connect_worker_connector_total_task_count": "Total",
 }
 SCRAPE_SECONDS = 15
+RULE_SECONDS = 30
+LOOKBACK_SECONDS = 300
 # End of fixed values.
 
 
@@ -207,8 +215,18 @@ def matching_on(left: DataFrame, right: DataFrame, names: list[str]) -> DataFram
     return keyed.join(wanted, same, "left_semi").drop(*[f"_on_{n}" for n in names])
 
 
-def instances_up(samples: DataFrame, metric: str = "up") -> DataFrame:
-    latest = instant(samples.filter(F.col("metric") == metric))
+def selected(samples: DataFrame, metric: str, labels: tuple[tuple[str, str], ...] = ()) -> DataFrame:
+    """Samples of a metric whose labels have the given values."""
+    mine = samples.filter(F.col("metric") == metric)
+    for name, value in labels:
+        mine = mine.filter(label(name) == value)
+    return mine
+
+
+def instances_up(
+    samples: DataFrame, metric: str = "up", labels: tuple[tuple[str, str], ...] = ()
+) -> DataFrame:
+    latest = instant(selected(samples, metric, labels))
     return latest.agg(F.count_if(F.col("value") == 1).alias("n_up"))
 
 
@@ -254,18 +272,41 @@ def commit_audit(commits: DataFrame, every: str) -> DataFrame:
 
 
 def lag_severity(lag: Column) -> Column:
+    """Band of a lag; a bound belongs to the band above it."""
     band = None
     for bound, name in LAG_BANDS:
-        hit = lag > bound
+        hit = lag >= bound
         band = F.when(hit, name) if band is None else band.when(hit, name)
     return band.otherwise("normal")
 
 
-def breaches(gauges: DataFrame, thresholds=THRESHOLDS) -> DataFrame:
-    """Latest values with the threshold of their metric and whether they break it.
+def breaches(
+    gauges: DataFrame,
+    thresholds=THRESHOLDS,
+    sums=SUM_THRESHOLDS,
+    heap_limit_bytes: float | None = None,
+) -> DataFrame:
+    """Latest value of every series with the threshold of its metric and whether it breaks it.
 
-    The catalogue is a handful of constants, so it becomes one expression, no join.
+    Metrics of ``sums`` are added up over their series first and have no labels then.
+    ``heap_limit_bytes`` is the maximum that the heap rule takes its share of; without
+    it there is no heap rule. The catalogue is a handful of constants, so it becomes one
+    expression, no join.
     """
+    latest = instant(gauges) if "ts" in gauges.columns else gauges
+    added = [m for m, _, _ in sums]
+    totals = (
+        latest.filter(F.col("metric").isin(added))
+        .groupBy("metric")
+        .agg(F.sum("value").alias("value"))
+        .withColumn("labels", F.create_map().cast("map<string,string>"))
+    )
+    gauges = latest.filter(~F.col("metric").isin(added)).unionByName(
+        totals, allowMissingColumns=True
+    )
+    thresholds = (*thresholds, *sums)
+    if heap_limit_bytes is not None:
+        thresholds = (*thresholds, (HEAP_METRIC, ">", HEAP_SHARE * heap_limit_bytes))
     bound = broken = None
     for metric, op, limit in thresholds:
         mine = F.col("metric") == metric
@@ -296,8 +337,42 @@ def status_panel(
 # Alerts
 
 
+def on_grid(
+    samples: DataFrame, step_seconds: int = RULE_SECONDS, lookback_seconds: int = LOOKBACK_SECONDS
+) -> DataFrame:
+    """What an evaluation every ``step_seconds`` sees: the last sample of each series that
+    is less than ``lookback_seconds`` old, so a series that stops soon disappears.
+
+    The samples of a step are reduced to the last one before it is spread over the
+    steps that still see it.
+    """
+    step, back = step_seconds * 1_000_000, lookback_seconds * 1_000_000
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    last = F.max(F.struct("ts", "value"))
+    steps = (
+        samples.withColumns({"_series": series_key(), "_step": F.ceil(at / step) * step})
+        .groupBy("_series", "_step")
+        .agg(last.alias("_last"), F.first("metric").alias("metric"), F.first("labels").alias("labels"))
+    )
+    made = F.unix_micros(F.col("_last.ts").cast("timestamp"))
+    seen = steps.withColumn(
+        "_step",
+        F.explode(F.sequence(F.col("_step"), F.greatest(F.col("_step"), made + back - 1), F.lit(step))),
+    ).filter(F.col("_step") - made < back)
+    return (
+        seen.groupBy("_series", "_step")
+        .agg(F.max("_last").alias("_last"), F.first("metric").alias("metric"), F.first("labels").alias("labels"))
+        .select(
+            F.timestamp_micros("_step").cast(samples.schema["ts"].dataType).alias("ts"),
+            "metric",
+            "labels",
+            F.col("_last.value").alias("value"),
+        )
+    )
+
+
 def cluster_sums(samples: DataFrame) -> DataFrame:
-    """One series per metric: the sum over all instances of each scrape."""
+    """One series per metric: the sum over all instances of each time of a grid."""
     return (
         samples.groupBy("ts", "metric")
         .agg(F.sum("value").alias("value"))
@@ -350,8 +425,16 @@ def alert_states(
     )
 
 
-def evaluate_rule(samples: DataFrame, rule: AlertRule, **options) -> DataFrame:
-    mine = samples.filter(F.col("metric") == rule.metric)
+def evaluate_rule(
+    samples: DataFrame,
+    rule: AlertRule,
+    step_seconds: int = RULE_SECONDS,
+    lookback_seconds: int = LOOKBACK_SECONDS,
+    **options,
+) -> DataFrame:
+    """States of a rule at every evaluation, on the latest sample of each series."""
+    mine = on_grid(selected(samples, rule.metric, rule.labels), step_seconds, lookback_seconds)
+    options = {"max_gap_seconds": 2 * step_seconds} | options
     if rule.cluster_sum:
         mine = cluster_sums(mine)
     test = compare(F.col("value"), rule.op, rule.threshold)

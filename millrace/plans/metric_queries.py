@@ -138,8 +138,8 @@ def groups_behind(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "lag_severity",
-    f"""SELECT consumergroup, CAST(sum(lag) AS BIGINT) AS value, CASE WHEN sum(lag) > 10000 THEN 'critical'
-        WHEN sum(lag) > 1000 THEN 'high' WHEN sum(lag) > 100 THEN 'elevated' ELSE 'normal' END AS severity
+    f"""SELECT consumergroup, CAST(sum(lag) AS BIGINT) AS value, CASE WHEN sum(lag) >= 10000 THEN 'critical'
+        WHEN sum(lag) >= 1000 THEN 'high' WHEN sum(lag) >= 100 THEN 'elevated' ELSE 'normal' END AS severity
         FROM ({_LAG}) GROUP BY 1""",
 )
 def lag_severity(spark: SparkSession, folder: str) -> DataFrame:
@@ -202,8 +202,9 @@ def alert_states(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "alert_rule_firing",
-    """WITH s AS (SELECT date_trunc('hour', ts) AS ts, sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS v
-         FROM events GROUP BY 1),
+    """WITH g AS (SELECT user_id, date_trunc('hour', ts - INTERVAL 1 MICROSECOND) + INTERVAL 1 HOUR AS grid,
+         max({'ts': ts, 'v': CASE WHEN event_type = 'error' THEN 1 ELSE 0 END}).v AS v FROM events GROUP BY 1, 2),
+       s AS (SELECT grid AS ts, sum(v) AS v FROM g GROUP BY 1),
        p AS (SELECT *, lag(v > 0) OVER (ORDER BY ts) AS was, lag(ts) OVER (ORDER BY ts) AS was_at FROM s),
        m AS (SELECT *, CASE WHEN v > 0 AND NOT coalesce(was AND ts - was_at <= INTERVAL 1 HOUR, false) THEN ts END AS start FROM p),
        r AS (SELECT *, last_value(start IGNORE NULLS) OVER (ORDER BY ts) AS since FROM m)
@@ -212,16 +213,19 @@ def alert_states(spark: SparkSession, folder: str) -> DataFrame:
        FROM r""",
 )
 def alert_rule_firing(spark: SparkSession, folder: str) -> DataFrame:
-    """A catalogued rule on a cluster sum: errors per hour stand for the gauge."""
+    """A catalogued rule on a cluster sum, evaluated hourly on the latest sample of each
+    user within the hour; instances report at times of their own."""
     rule = M.ALERT_RULES[0]
     samples = table(spark, folder, "events").select(
-        F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("ts"),
+        F.col("ts").cast("timestamp").alias("ts"),
         F.lit(rule.metric).alias("metric"),
         F.create_map(F.lit("instance"), F.col("user_id").cast("string")).alias("labels"),
         F.when(F.col("event_type") == "error", 1.0).otherwise(0.0).alias("value"),
     )
     return plain_times(
-        M.evaluate_rule(samples, rule, max_gap_seconds=3600).select("ts", "alert", "value", "state")
+        M.evaluate_rule(
+            samples, rule, step_seconds=3600, lookback_seconds=3600, max_gap_seconds=3600
+        ).select("ts", "alert", "value", "state")
     )
 
 

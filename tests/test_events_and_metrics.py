@@ -131,16 +131,61 @@ def test_counter_restart_and_range_edges(spark):
     assert [r["rate"] for r in M.counter_rate(df, 30, ["instance"]).orderBy("ts").collect()] == [0.3, 5 / 30]
 
 
-def test_cluster_rule_and_bands(spark):
-    a = samples(spark, [(i, 0) for i in range(4)], metric="up")
-    rule = next(r for r in M.ALERT_RULES if r.name == "KafkaBrokerDown")
-    assert [r["state"] for r in M.evaluate_rule(a, rule).orderBy("ts").collect()] == ["pending"] * 4
-    longer = samples(spark, [(i, 0) for i in range(5)], metric="up")
-    assert M.evaluate_rule(longer, rule).orderBy(F.desc("ts")).first()["state"] == "firing"
-    lags = spark.createDataFrame([(100,), (101,), (1001,), (10001,)], "lag INT")
+def rule(name):
+    return next(r for r in M.ALERT_RULES if r.name == name)
+
+
+def fired(df, name):
+    return {r["state"] for r in M.evaluate_rule(df, rule(name)).collect()}
+
+
+def test_rules_see_the_latest_sample_of_each_series(spark):
+    brokers = {"job": "kafka-brokers", "instance": "a"}
+    down = samples(spark, [(i, 0) for i in range(8)], metric="up", labels=brokers)
+    assert "firing" in fired(down, "KafkaBrokerDown")
+    other = samples(spark, [(i, 0) for i in range(8)], metric="up", labels={"job": "kafka-connect"})
+    assert fired(other, "KafkaBrokerDown") == set()
+    assert M.instances_up(other, labels=(("job", "kafka-brokers"),)).first()["n_up"] == 0
+
+    # Three brokers report seconds apart, exactly one of them leads.
+    name = rule("KafkaActiveControllerCountInvalid").metric
+    parts = [
+        samples(spark, [(i + k / 5, k == 1) for i in range(30)], metric=name, labels={"instance": str(k)})
+        for k in range(3)
+    ]
+    three = parts[0].union(parts[1]).union(parts[2])
+    late = T0 + timedelta(seconds=30)  # by then all have reported
+    found = M.evaluate_rule(three, rule("KafkaActiveControllerCountInvalid")).filter(F.col("ts") > F.lit(late))
+    # The samples end after 435 s; the last grid times still see all of them, then none.
+    assert {r["state"] for r in found.filter(F.col("ts") <= F.lit(T0 + timedelta(seconds=700))).collect()} == {"inactive"}
+
+
+def test_a_series_that_stops_leaves_the_grid(spark):
+    short = samples(spark, [(0, 7), (1, 8)], step=40)
+    grid = M.on_grid(short, 30, 120).withColumn("at", F.unix_seconds("ts")).orderBy("ts")
+    assert [(r["at"] - T0.timestamp(), r["value"]) for r in grid.collect()] == [
+        (0, 7), (30, 7), (60, 8), (90, 8), (120, 8), (150, 8),
+    ]
+
+
+def test_bands_and_thresholds(spark):
+    lags = spark.createDataFrame([(99,), (100,), (1000,), (10000,)], "lag INT")
     assert [r[0] for r in lags.select(M.lag_severity(F.col("lag"))).collect()] == [
         "normal", "elevated", "high", "critical",
     ]
+    controller = M.SUM_THRESHOLDS[0][0]
+    rows = [(controller, {"i": str(k)}, float(k == 0)) for k in range(3)]
+    rows += [(M.HEAP_METRIC, {"i": "0"}, 81.0), ("jvm_gc_collection_time_ms", {"i": "0"}, 500.0)]
+    rows += [("jvm_gc_collection_time_ms", {"i": "1"}, 501.0), ("kafka_consumergroup_lag", {"g": "x"}, 10000.0)]
+    gauges = spark.createDataFrame(rows, "metric STRING, labels MAP<STRING,STRING>, value DOUBLE")
+    got = {(r["metric"], tuple(r["labels"].items())): r["breached"] for r in M.breaches(gauges, heap_limit_bytes=100).collect()}
+    assert got == {
+        (controller, ()): False,
+        (M.HEAP_METRIC, (("i", "0"),)): True,
+        ("jvm_gc_collection_time_ms", (("i", "0"),)): False,
+        ("jvm_gc_collection_time_ms", (("i", "1"),)): True,
+        ("kafka_consumergroup_lag", (("g", "x"),)): False,
+    }
 
 
 def test_relabel_first_rule_wins(spark):
