@@ -84,9 +84,14 @@ def read_current(spark: SparkSession, table: str, keys: list[str], **options) ->
 def compact(
     spark: SparkSession, table: str, keys: list[str], newest_by: tuple[str, ...] = NEWEST_BY
 ) -> int:
-    """Writes the present state as a base for later reads; returns its version."""
+    """Writes the present state as a base for later reads; returns its version.
+
+    A base that is still current is left alone, as readers may be using it.
+    """
     merges = history(spark, table).filter(F.col("operation") == MERGE)
     last = merges.agg(F.max("version")).first()[0]
+    if _committed(spark, table, None)[0] == last:
+        return last
     state = read_state(spark, table, keys, newest_by, version=last)
     folder = f"{table}/base={last}"
     state.write.mode("overwrite").parquet(folder)
