@@ -162,8 +162,11 @@ def bronze_job(
 ) -> StreamingQuery:
     """Framed CDC messages to the bronze table; broken ones to ``dead_target``.
 
-    Without ``dead_target`` the job is strict: the first broken message stops it.
+    Without ``dead_target`` the job is strict: the first broken message stops it. ``sink``
+    is ``table``, ``delta`` or ``kafka``, with or without dead letters.
     """
+    if sink not in sinks.SINKS:
+        raise ValueError(f"unknown sink: {sink}")
     decoded = E.decode(messages, E.json_payload(schema), list(required))
     if dead_target is None:
         rows = bronze_orders(decoded, ingested_at, strict=True)
@@ -172,9 +175,11 @@ def bronze_job(
         return sinks.bronze_sink(
             rows, sink, target=target, checkpoint=checkpoint, every=every, **sink_options
         )
+    if sink == "kafka":
+        sink_options = {"key": "kafka_key", **sink_options}
     return sinks.split_good_and_dead(
         decoded,
-        target,
+        sinks.batch_writer(sink, target, **sink_options),
         dead_target,
         checkpoint,
         lambda batch: bronze_orders(batch, ingested_at),

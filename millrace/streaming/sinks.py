@@ -3,11 +3,13 @@ same job under a new pair of folders reprocesses the source from its start."""
 
 from __future__ import annotations
 
+import threading
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from millrace.functions.shaping import json_messages, time_partitions
@@ -87,6 +89,42 @@ def republish_json(
     return with_trigger(writer.format("parquet"), every).start(folder)
 
 
+SINKS = ("table", "delta", "kafka")
+
+
+def batch_writer(
+    sink: str,
+    target: str | None = None,
+    key: str | None = None,
+    topic: str | None = None,
+    servers: str | None = None,
+    folder: str | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Writes one micro-batch to the chosen sink; see ``bronze_sink`` for whole streams.
+
+    Tables and folders own a folder for each batch, Delta skips a batch it has, and a
+    topic gets a repeated batch again, as it does from a stream.
+    """
+    if sink not in SINKS:
+        raise ValueError(f"unknown sink: {sink}")
+    if sink == "kafka" and not (key and (folder or (topic and servers))):
+        raise ValueError("the kafka sink needs a key, and topic and servers or a folder")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if sink == "delta":
+            writer = batch.write.format("delta").mode("append").option("mergeSchema", "true")
+            writer.option("txnAppId", target).option("txnVersion", batch_id).save(target)
+        elif sink == "table":
+            batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        elif topic:
+            writer = json_messages(batch, key).write.format("kafka")
+            writer.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+        else:
+            json_messages(batch, key).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    return write
+
+
 def bronze_sink(df: DataFrame, sink: str = "table", **options) -> StreamingQuery:
     """Sink chosen by configuration: ``table`` (Parquet), ``delta`` or ``kafka``."""
     if sink == "kafka":
@@ -204,20 +242,23 @@ def read_committed(spark: SparkSession, table: str, version: int | None = None)
 
 def split_good_and_dead(
     decoded: DataFrame,
-    good_target: str,
+    write_good: Callable[[DataFrame, int], None],
     dead_target: str,
     checkpoint: str,
     shape_good,
     shape_dead,
     every: str | None = FILE_TRIGGER,
 ) -> StreamingQuery:
-    """Good rows to one table, dead letters to another, from one reading of the source."""
+    """Good rows to one sink, dead letters to a table, from one reading of the source.
+
+    ``write_good`` must give the same result when a batch is written again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for shape, target in ((shape_good, good_target), (shape_dead, dead_target)):
-                shape(batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+            write_good(shape_good(batch), batch_id)
+            shape_dead(batch).write.mode("overwrite").parquet(f"{dead_target}/batch={batch_id}")
         finally:
             batch.unpersist()
 
@@ -227,32 +268,75 @@ def split_good_and_dead(
 
 # Progress
 
+PROGRESS = (
+    "query STRING, run STRING, batch_id BIGINT, input_rows BIGINT, state_rows BIGINT, "
+    "late_rows BIGINT"
+)
 
-def progress_rows(query: StreamingQuery) -> list[tuple]:
-    """Per micro-batch: rows in, rows in state, rows dropped as too late.
 
-    The last number counts rows after the partial aggregation of a task, so it can
-    be lower than the number of late input rows.
-    """
-    return [
-        (
-            p.name,
-            p.batchId,
-            p.numInputRows,
-            sum(s.numRowsTotal for s in p.stateOperators),
-            sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
-        )
-        for p in query.recentProgress
-    ]
+class ProgressLog(StreamingQueryListener):
+    """Writes the progress of the session's queries to a table, batch after batch.
 
+    A query itself remembers its last hundred micro-batches only. Rows are written in
+    files of ``rows_per_file`` and when a query ends; ``close`` writes what is left and
+    ends the listening. Late rows are counted after the partial aggregation of a task, so
+    the number can be lower than that of the late input rows.
+    """
 
-def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    return spark.createDataFrame(
-        progress_rows(query),
-        "query STRING, batch_id BIGINT, input_rows BIGINT, state_rows BIGINT, late_rows BIGINT",
+    def __init__(self, spark: SparkSession, table: str, rows_per_file: int = 50):
+        self.spark, self.table, self.rows_per_file = spark, table, rows_per_file
+        self.rows: list[tuple] = []
+        self.lock = threading.Lock()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        """Nothing to note."""
+
+    def onQueryIdle(self, event) -> None:
+        """Nothing to note."""
+
+    def onQueryProgress(self, event) -> None:
+        with self.lock:
+            self.rows.append(_progress_row(event.progress))
+            if len(self.rows) >= self.rows_per_file:
+                self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        with self.lock:
+            self._write()
+
+    def _write(self) -> None:
+        if self.rows:
+            frame = self.spark.createDataFrame(self.rows, PROGRESS).coalesce(1)
+            frame.write.mode("append").parquet(self.table)
+            self.rows = []
+
+    def close(self) -> DataFrame:
+        """Ends the listening once all events have arrived; gives the table."""
+        self.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        self.spark.streams.removeListener(self)
+        with self.lock:
+            self._write()
+        return self.spark.read.schema(PROGRESS).parquet(self.table)
+
+
+def _progress_row(p) -> tuple:
+    return (
+        p.name,
+        str(p.runId),
+        p.batchId,
+        p.numInputRows,
+        sum(s.numRowsTotal for s in p.stateOperators),
+        sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
     )
 
 
+def progress_rows(query: StreamingQuery) -> list[tuple]:
+    """Rows of the query's recent micro-batches, a hundred at most; see ProgressLog."""
+    rows = [_progress_row(p) for p in query.recentProgress]
+    return [(r[0], *r[2:]) for r in rows]
+
+
 def await_any(spark: SparkSession, seconds: float | None = None) -> bool | None:
     """Waits until one of the session's queries ends."""
     if seconds is None:

@@ -168,6 +168,34 @@ def test_bronze_job_restarts_and_keeps_dead_letters(spark, tmp_path):
     assert rows.count() == 2 and dead.count() == 5
 
 
+def test_bronze_job_honours_its_sink(spark, tmp_path):
+    good = '{"order_id": 1, "status": "paid", "__op": "u", "__source_ts_ms": 5}'
+    wrong = ['{"order_id": "x"}', good + " junk", '{"status": "paid"}', '{"order_id": 1, "status"']
+    rows = [message(i, framed(v)) for i, v in enumerate([good, *wrong])]
+    batches(spark, tmp_path / "in", ENVELOPE, [rows])
+    stream = E.file_stream(spark, f"{tmp_path}/in")
+    args = [f"{tmp_path}/{x}" for x in ("orders", "ck", "dead")]
+    with pytest.raises(ValueError):
+        bronze_job(stream, *args, every=None, sink="nonsense")
+    with pytest.raises(ValueError):
+        bronze_job(stream, *args, every=None, sink="kafka")
+    bronze_job(stream, *args, every=None, sink="kafka", folder=f"{tmp_path}/out").awaitTermination()
+    sent = spark.read.parquet(f"{tmp_path}/out").collect()
+    assert [r["key"] for r in sent] == ["k"] and '"order_id":1' in sent[0]["value"]
+    assert {r["offset"] for r in spark.read.parquet(args[2]).collect()} == {1, 2, 3, 4}
+    assert not (tmp_path / "orders").exists()
+
+
+def test_progress_log_keeps_every_batch(spark, tmp_path):
+    log = sinks.ProgressLog(spark, f"{tmp_path}/log", rows_per_file=2)
+    stream = batches(spark, tmp_path / "in", TIMED, [[(at("10:00:00"), i)] for i in range(5)])
+    query = sinks.append_table(stream, f"{tmp_path}/t", f"{tmp_path}/ck", every=None, name="kept")
+    query.awaitTermination()
+    rows = log.close().filter(F.col("run") == str(query.runId)).orderBy("batch_id").collect()
+    assert [tuple(r)[0:1] + tuple(r)[2:] for r in rows] == sinks.progress_rows(query)
+    assert len(rows) == 5
+
+
 def test_strict_job_fails_on_the_first_broken_message(spark, tmp_path):
     batches(spark, tmp_path / "in", ENVELOPE, [[message(0, b"plain")]])
     stream = E.file_stream(spark, f"{tmp_path}/in")
