@@ -5,24 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 1_000_000
-
 
 def floor_to(value: Column, step: int) -> Column:
     """Largest multiple of ``step`` not above an integral value."""
     return value - F.pmod(value, F.lit(step))
 
 
-def small_enough_to_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows, reading no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a count; larger sides are left to a shuffle join."""
-    return F.broadcast(df) if small_enough_to_broadcast(df, max_rows) else df
-
-
 def interval_join(
     left: DataFrame,
     right: DataFrame,
@@ -64,7 +52,7 @@ def enriched(
 ) -> DataFrame:
     """Left join to a dimension with one row per key.
 
-    Spark broadcasts the dimension itself when its files are small; pass it through
-    :func:`broadcast_if_small` to do so up to a number of rows.
+    No hint is given: Spark broadcasts the dimension when its bytes are few and joins by
+    shuffle otherwise. Read it with ``read_dimension``, so that its size is that of files.
     """
     return facts.join(dimension, key, "left").select(*columns)

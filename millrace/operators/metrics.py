@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from millrace.operators.joins import floor_to
 from millrace.operators.latest import latest_per_key
 from millrace.operators.running import SECONDS_PER_CHUNK, Running, running, time_chunk
+from millrace.runtime import stored
 
 
 @dataclass(frozen=True)
@@ -407,8 +408,9 @@ def alert_states(
     marked = lagged.withColumn(
         "_start", F.when(F.col("_true") & ~continues, F.col("ts"))
     )
+    # The second pass reads its input twice; stored, that is not two readings of the source.
     held = running(
-        marked, ["_series"], ["ts"], chunk, Running(lasts={"active_since": F.col("_start")})
+        stored(marked, "alerts"), ["_series"], ["ts"], chunk, Running(lasts={"active_since": F.col("_start")})
     )
     age = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
         F.col("active_since").cast("timestamp")

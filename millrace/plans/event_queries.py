@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import eventlog, saga
 from millrace.operators.dedup import once_per_event
 from millrace.operators.running import Running, numbered, offset_chunk, running
-from millrace.operators.stock import reserve
+from millrace.operators.stock import RESERVED, demands_of_paid_orders, reserve
 from millrace.plans import inputs
 from millrace.plans.cdc_queries import duplicated
 from millrace.plans.ingest_queries import place_order_messages
@@ -188,6 +188,49 @@ def stock_decisions(spark: SparkSession, folder: str) -> DataFrame:
     return reserve(demands, stock).select("offset", "event_type", "missing_sku")
 
 
+@query(
+    "stock_held_by_part",
+    """SELECT l_partkey AS sku, count(DISTINCT l_orderkey) AS n_asking, false AS oversold
+       FROM lineitem WHERE l_orderkey % 11 <> 0 GROUP BY 1""",
+)
+def stock_held_by_part(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of several lines, paid on three log partitions with equal offsets; every
+    seventh gives its stock back later. No part is held beyond its stock at any time:
+    what is held at the end of a part's log is its reservations less what came back."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"),
+        F.struct(F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("int").alias("quantity")).alias("item"),
+    )
+    order = F.col("order_id")
+    created = lines.groupBy("order_id").agg(F.sort_array(F.collect_list("item")).alias("items")).select(
+        "order_id", "items",
+        (order % 3).cast("int").alias("partition"), F.floor(order / 9).alias("offset"),
+        F.lit("OrderCreated").alias("event_type"),
+    )
+    paid = created.filter(order % 11 != 0).withColumns(
+        {"items": F.lit(None).cast(created.schema["items"].dataType), "event_type": F.lit("PaymentCompleted")}
+    )
+    back = created.filter(order % 7 == 0).select(
+        "order_id", "partition", (F.col("offset") + F.when(order % 2 == 0, 5).otherwise(-5)).alias("offset")
+    )
+    stock = table(spark, folder, "part").select(
+        F.col("p_partkey").alias("sku"), (F.col("p_partkey") % 100 + 100).alias("quantity")
+    )
+    demands = demands_of_paid_orders(created.unionByName(paid))
+    decided = reserve(demands, stock, back)
+    kept = (
+        demands.join(decided.select("order_id", F.col("event_type").alias("_event")), "order_id")
+        .join(back.filter(order % 2 == 0).select("order_id", F.lit(True).alias("_back")), "order_id", "left")
+    )
+    held = F.when((F.col("_event") == RESERVED) & F.col("_back").isNull(), F.col("quantity")).otherwise(0)
+    return (
+        kept.groupBy("sku")
+        .agg(F.count_distinct("order_id").alias("n_asking"), F.sum(held).alias("_held"))
+        .join(stock, "sku")
+        .select("sku", "n_asking", (F.col("_held") > F.col("quantity")).alias("oversold"))
+    )
+
+
 @query(
     "compensations",
     f"""WITH f AS (SELECT user_id AS order_id,

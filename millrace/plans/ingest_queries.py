@@ -9,7 +9,9 @@ from millrace.functions.rules import RuleSet, is_blank
 from millrace.operators.ingest import enriched_json, routed, run_statistics
 from millrace.operators.saga import parse_commands
 from millrace.plans.inputs import raw_lines, table
+from millrace.plans.jobs import ingest_files
 from millrace.plans.registry import query
+from millrace.runtime import work_folder
 
 _ROUTE = """CASE WHEN event_id % 13 = 0 THEN 'blank'
   WHEN event_id % 11 = 0 OR event_id % 7 = 0 OR event_id % 5 = 0 OR event_id % 3 = 0 THEN 'rejected'
@@ -56,6 +58,42 @@ def ingest_run_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return run_statistics(routed(raw_lines(spark, folder)))
 
 
+@query(
+    "ingest_job",
+    f"""WITH r AS (SELECT {_ROUTE} AS route FROM events),
+    c AS (SELECT count(*) FILTER (WHERE route <> 'blank') AS n_read,
+                 count(*) FILTER (WHERE route = 'valid') AS n_valid,
+                 count(*) FILTER (WHERE route = 'rejected') AS n_rejected,
+                 count(*) FILTER (WHERE route = 'blank') AS n_empty_lines FROM r),
+    u AS (SELECT count(*) AS n_unparsed FROM events
+          WHERE event_id % 13 <> 0 AND (event_id % 11 = 0 OR event_id % 7 = 0))
+    SELECT *, 0 AS code, n_valid AS n_valid_written, n_rejected AS n_rejected_written,
+           CASE WHEN n_valid = 0 OR n_rejected > 0.1 * n_read THEN 'WARN' ELSE 'OK' END AS status
+    FROM c, u""",
+)
+def ingest_job(spark: SparkSession, folder: str) -> DataFrame:
+    """The file job over text files: its log line, what it wrote for each route, and the
+    places of the lines that are no objects, which are all different."""
+    work = work_folder(spark, "ingest")
+    raw_lines(spark, folder).select(F.col("line").alias("value")).write.text(f"{work}/in")
+    done = ingest_files(spark, f"{work}/in", f"{work}/bronze", f"{work}/log")
+    log = spark.read.json(f"{work}/log")
+    value = F.col("value")
+    place = F.struct(
+        F.get_json_object(value, "$._source_file"), F.get_json_object(value, "$._lineno")
+    )
+    unparsed = F.get_json_object(value, "$._lineno").isNotNull()
+    written = spark.read.text(f"{work}/bronze").filter(F.col("route").isin("valid", "rejected")).agg(
+        F.count_if(F.col("route") == "valid").alias("n_valid_written"),
+        F.count_if(F.col("route") == "rejected").alias("n_rejected_written"),
+        F.count_distinct(F.when(unparsed, place)).alias("n_unparsed"),
+    )
+    names = ["n_read", "n_valid", "n_rejected", "n_empty_lines", "status"]
+    return log.select(*names, F.lit(done.code).alias("code"), F.lit(1).alias("_one")).join(
+        written.withColumn("_one", F.lit(1)), "_one"
+    ).drop("_one")
+
+
 @query(
     "ingest_documents",
     f"""SELECT event_id, {_ROUTE} AS route, 'run-1' AS batch_id, 'events' AS source_file,

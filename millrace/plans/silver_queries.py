@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import counts
-from millrace.operators.joins import broadcast_if_small
 from millrace.plans import inputs
 from millrace.plans.inputs import table, table_stream
 from millrace.plans.registry import drained, plain_times, query
 from millrace.runtime import work_folder
+from millrace.sources.tables import read_dimension
 from millrace.streaming import joins, sinks, windows
 from millrace.streaming.upsert import read_state, upsert_stream
 
@@ -147,10 +147,12 @@ def updated_windows(spark: SparkSession, folder: str) -> DataFrame:
        FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
 )
 def orders_enriched(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream of orders with the static customer dimension."""
-    customers = inputs.customers_dimension(
+    """Stream of orders with a version of the customer dimension that is written once."""
+    version = f"{work_folder(spark, 'dimension')}/version=1"
+    inputs.customers_dimension(
         table(spark, folder, "customer"), table(spark, folder, "nation")
-    )
+    ).write.parquet(version)
+    customers = read_dimension(spark, version, ["customer_id", "email", "country"])
     orders = table_stream(spark, folder, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
@@ -158,7 +160,7 @@ def orders_enriched(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_totalprice").alias("total_amount"),
         F.col("o_orderdate").cast("timestamp").alias("kafka_ts"),
     )
-    joined = joins.orders_enriched(orders, broadcast_if_small(customers))
+    joined = joins.orders_enriched(orders, customers)
     return plain_times(drained(joined, "enriched"))
 
 

@@ -53,6 +53,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def stored(df, name: str):
+    """``df`` written to the shared folder and read again, where a later step reads it
+    more than once or stands on a long lineage."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for one run, below the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.shaping import flatten_window
 from millrace.operators.running import Running, running, time_chunk
+from millrace.runtime import stored
 from millrace.schemas import MONEY
 
 # Watermark and window lengths of the silver tables.
@@ -115,8 +116,9 @@ def _stored_sessions(
     chunk = time_chunk(F.col("_ts"))
     lagged = running(moments, [key], ["_ts"], chunk, Running(lags={"_before": F.col("_ts")}))
     fresh = F.col("_before").isNull() | (F.col("_ts") > F.col("_before") + length)
+    # The second pass reads its input twice; stored, that is not two readings of the source.
     started = running(
-        lagged, [key], ["_ts"], chunk,
+        stored(lagged, "sessions"), [key], ["_ts"], chunk,
         Running(lasts={"window_start": F.when(fresh, F.col("_ts"))}),
     )
     return started.groupBy(key, "window_start").agg(

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import cdc, relabel, shaping
 from millrace.operators import eventlog, metrics as M, saga
-from millrace.operators.joins import broadcast_if_small, small_enough_to_broadcast
 from millrace.operators.stock import reserve
 from millrace.schemas import CDC_SOURCE, MONEY, ORDER_EVENTS
 from millrace.sources import generators
@@ -245,10 +244,3 @@ def test_partition_folders_and_inventory(spark, tmp_path):
     files = file_inventory(spark, str(tmp_path / "t"))
     assert files.agg(F.sum("n_rows")).first()[0] == 30
     assert peek_newest(spark, str(tmp_path / "t")).count() == 1
-
-
-def test_broadcast_needs_a_small_side(spark):
-    df = spark.range(100)
-    assert small_enough_to_broadcast(df, 100) and not small_enough_to_broadcast(df, 99)
-    assert "broadcast" in broadcast_if_small(df, 100)._jdf.queryExecution().toString().lower()
-    assert broadcast_if_small(df, 99) is df
