@@ -1,8 +1,8 @@
 """Benchmark decontamination on templates, with DataFrame functions only.
 
 Texts become templates: numbers, names and units turn into typed placeholders, letters
-into lower case, everything else into single spaces. A name is a capitalised word that
-follows a letter, digit, comma, semicolon or colon, so not the first word of a sentence.
+into lower case, everything else into single spaces. A name is a capitalised word inside
+a sentence: what stands before its space is no full stop, question or exclamation mark.
 Windows of ``WINDOW`` template words with ``LITERALS`` words or more that are no
 placeholders are joined by hash. What stood at the placeholders must fit: along one
 alignment of a document with an item, one value of the item must always meet one value
@@ -36,11 +36,12 @@ UNITS = (
     "kb mb gb tb mph kmh kph"
 ).split()
 
-#: Replacements that mark placeholders and keep their values, applied in this order.
+#: Replacements that mark placeholders and keep their values, applied in this order. Each
+#: starts with a narrow class of characters, and single spaces match none of them.
 STEPS = [
-    (r"[\x20\x09-\x0D]+", " "),
-    (r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)", rf"$1{NAME}$2"),
-    (r"([\p{L}\p{N},;:] )(\p{Lu}\p{Ll}+)", rf"$1{NAME}$2"),  # every other one of a row of names
+    (r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " "),
+    (r"([^.!?] )(\p{Lu}\p{Ll}+)", rf"$1{NAME}$2"),
+    (r"([^.!?] )(\p{Lu}\p{Ll}+)", rf"$1{NAME}$2"),  # every other one of a row of names
     (r"([0-9])[.,]([0-9])", rf"$1{POINT}$2"),
     (rf"([0-9][0-9{POINT}]*)", rf"{NUMBER}$1"),
     (
@@ -48,7 +49,9 @@ STEPS = [
         rf"$1 {UNIT}$2$3",
     ),
 ]
-OTHER = rf"[^\p{{L}}\p{{M}}\p{{N}}{NUMBER}-{POINT}]+"
+#: What separates words once letters are in lower case; marks, other ASCII signs and the
+#: blocks of Latin and general punctuation do, any other character is part of a word.
+OTHER = r"[^ a-z0-9\x{C0}-\x{1FFF}\x{2C00}-\x{10FFFF}]+"
 PLACEHOLDER = rf"([{NUMBER}-{UNIT}])[^ ]*"
 
 
@@ -57,7 +60,8 @@ def marked(text: Column) -> Column:
     out = F.coalesce(text, F.lit(""))
     for pattern, put in STEPS:
         out = F.regexp_replace(out, pattern, put)
-    return F.trim(F.regexp_replace(F.lower(out), OTHER, " "))
+    apart = F.regexp_replace(F.lower(out), OTHER, " ")
+    return F.trim(F.regexp_replace(apart, " {2,}", " "))
 
 
 def template(words: Column) -> Column:
@@ -70,8 +74,12 @@ def _windows(df: DataFrame, key: str) -> DataFrame:
     words = df.select(key, marked(F.col("text")).alias("m")).select(
         key, F.split("m", " ").alias("values"), F.split(template(F.col("m")), " ").alias("words")
     )
-    at = F.explode(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)))
-    placed = words.filter(F.size("words") >= WINDOW).select(key, "values", "words", at.alias("at"))
+    # A condition on the number of words below the generator, stated or inferred, would
+    # make every text a template twice; the outer form has its condition above it.
+    at = F.explode_outer(
+        F.when(F.size("words") >= WINDOW, F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)))
+    )
+    placed = words.select(key, "values", "words", at.alias("at")).filter("at IS NOT NULL")
     hashed = F.xxhash64(*[F.element_at("words", F.col("at") + i) for i in range(WINDOW)])
     return placed.select(key, "at", hashed.alias("h"), "values", "words")
 
@@ -164,7 +172,8 @@ def oracle() -> str:
     for pattern, put in STEPS:
         put = put.replace("$", "\\")
         out = f"regexp_replace({out}, '{pattern}', '{put}', 'g')"
-    words = f"trim(regexp_replace(lower({out}), '{OTHER}', ' ', 'g'))"
+    apart = f"regexp_replace(lower({out}), '{OTHER}', ' ', 'g')"
+    words = f"trim(regexp_replace({apart}, ' {{2,}}', ' ', 'g'))"
     plain = PLACEHOLDER.replace("$", "\\")
 
     def windows(name: str, key: str, source: str) -> str:
