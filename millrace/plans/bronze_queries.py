@@ -290,7 +290,7 @@ def order_within_keys(spark: SparkSession, folder: str) -> DataFrame:
         F.spark_partition_id().alias("_p"),
         F.monotonically_increasing_id().alias("_i"),
     )
-    # In order means: the row with the k-th offset also comes k-th. Sums of products
+    # In order means: each row's offset is above that of the row before it.
     arrived = running(
         placed, ["order_id"], ["_i"], offset_chunk(F.col("_i")),
         Running(lags={"_before": F.col("offset")}),

@@ -19,7 +19,7 @@ from millrace.operators.ingest import enriched_json, routed, run_statistics, wit
 from millrace.schemas import CDC_ORDER, RUN_LOG
 from millrace.sources import envelope as E
 from millrace.sources.lines import read_lines, split_counts, stream_lines, with_line_numbers
-from millrace.streaming import sinks
+from millrace.streaming import joins, sinks, windows
 
 # Exit codes of an ingest run.
 EXIT_DONE = 0
@@ -186,3 +186,28 @@ def bronze_job(
         E.dead_letters,
         every,
     )
+
+
+def silver_job(
+    orders: DataFrame,
+    paid_orders: DataFrame,
+    payments: DataFrame,
+    customers: DataFrame,
+    root: str,
+    every: str | None = sinks.FILE_TRIGGER,
+) -> list[StreamingQuery]:
+    """Starts the five silver queries on one session, each with a table and a checkpoint
+    of its own below ``root``: tumbling revenue, sliding basket, the late-data demo,
+    orders with their customer, and orders with their payment.
+
+    With a trigger interval, wait for ``sinks.await_any``: the end of one query is a
+    failure then. With none, each of them ends once it has read what there is.
+    """
+    tables = {
+        "revenue": windows.revenue_by_window(orders),
+        "basket": windows.basket_by_window(orders),
+        "late": windows.counts_by_window(orders),
+        "enriched": joins.orders_enriched(orders, customers),
+        "paid": joins.orders_with_payments(paid_orders, payments),
+    }
+    return [sinks.silver_table(rows, root, name, every) for name, rows in tables.items()]

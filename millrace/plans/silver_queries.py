@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from millrace.operators import counts
 from millrace.plans import inputs
 from millrace.plans.inputs import table, table_stream
+from millrace.plans.jobs import silver_job
 from millrace.plans.registry import drained, plain_times, query
 from millrace.runtime import work_folder
 from millrace.sources.tables import read_dimension
@@ -213,3 +214,36 @@ def orders_paid_stored(spark: SparkSession, folder: str) -> DataFrame:
 )
 def payment_latency(spark: SparkSession, folder: str) -> DataFrame:
     return counts.payment_latency(_paid(lambda: table(spark, folder, "events"), "inner"))
+
+
+_SILVER = f"""SELECT 'revenue' AS name, count(*) AS n FROM ({_tumbling('minute', '1 MINUTE', final=True)})
+  UNION ALL SELECT 'basket', count(*) FROM ({_sliding(final=True)})
+  UNION ALL SELECT 'late', count(*) FROM ({_DEMO})
+  UNION ALL SELECT 'enriched', count(*) FROM events
+  UNION ALL SELECT 'paid', count(*) FROM ({_PAIRS.format(how="INNER").replace("60 MINUTE", "15 MINUTE")})"""
+
+
+@query("silver_tables", _SILVER)
+def silver_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the five silver tables that one job writes side by side."""
+    root = work_folder(spark, "silver")
+    version = f"{root}/customers/version=1"
+    inputs.customers_dimension(
+        table(spark, folder, "customer"), table(spark, folder, "nation")
+    ).write.parquet(version)
+    started = silver_job(
+        inputs.orders_stream(table_stream(spark, folder, "events")),
+        inputs.of_type(table_stream(spark, folder, "events"), "view", "total_amount"),
+        inputs.of_type(table_stream(spark, folder, "events"), "purchase", "amount"),
+        read_dimension(spark, version, ["customer_id", "email", "country"]),
+        root,
+        every=None,
+    )
+    for running in started:
+        running.awaitTermination()
+    counted = None
+    for name in ("revenue", "basket", "late", "enriched", "paid"):
+        rows = spark.read.parquet(f"{root}/{name}").agg(F.count("*").alias("n"))
+        rows = rows.select(F.lit(name).alias("name"), "n")
+        counted = rows if counted is None else counted.union(rows)
+    return counted

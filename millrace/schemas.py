@@ -50,37 +50,10 @@ CDC_SOURCE = struct(
     "version STRING, connector STRING, name STRING, ts_ms BIGINT, lsn BIGINT, txId BIGINT, "
     "table STRING"
 )
-CUSTOMERS = struct(
-    "customer_id INT, email STRING, first_name STRING, last_name STRING, "
-    "country STRING, created_at TIMESTAMP, updated_at TIMESTAMP"
-)
-ORDERS = struct(
-    "order_id INT, customer_id INT, status STRING, total_amount PRICE, "
-    "currency STRING, created_at TIMESTAMP, updated_at TIMESTAMP"
-)
-ORDER_ITEMS = struct(
-    "order_item_id INT, order_id INT, sku STRING, product_name STRING, "
-    "quantity INT, unit_price PRICE"
-)
 ORDER_MODEL = struct(
     "order_id BIGINT, customer_id BIGINT, status STRING, total_amount MONEY, "
     "currency STRING, created_at TIMESTAMP, updated_at TIMESTAMP"
 )
-PAYMENT_MODEL = struct(
-    "payment_id BIGINT, order_id BIGINT, amount MONEY, currency STRING, "
-    "method STRING, paid_at TIMESTAMP"
-)
-CUSTOMER_MODEL = struct(
-    "customer_id BIGINT, email STRING, first_name STRING, last_name STRING, "
-    "country STRING, created_at TIMESTAMP, updated_at TIMESTAMP"
-)
-ORDER_V1 = struct(
-    "id STRING, customer_id STRING, total DOUBLE, currency STRING, created_at TIMESTAMP"
-)
-ORDER_V2 = struct(
-    "id STRING, customer_id STRING, total DOUBLE, currency STRING, "
-    "created_at TIMESTAMP, discount_code STRING"
-)
 PLACE_ORDER = struct(
     "command_type STRING, order_id STRING, customer_id STRING, "
     "items ITEMS, currency STRING"
@@ -94,12 +67,6 @@ ORDER_EVENTS = struct(
     "reason STRING, reservation_id STRING, missing_sku STRING, "
     "tracking_number STRING, carrier STRING, delivered_at TIMESTAMP"
 )
-ORDER_SNAPSHOT = struct(
-    "order_id STRING, version INT, status STRING, customer_id STRING, total DOUBLE, "
-    "currency STRING, snapshot_at TIMESTAMP, transaction_id STRING, "
-    "reservation_id STRING, tracking_number STRING, cancel_reason STRING"
-)
-SAMPLES = struct("ts TIMESTAMP, metric STRING, labels LABELS, value DOUBLE")
 RUN_LOG = struct(
     "batch_id STRING, source STRING, started STRING, finished STRING, n_read BIGINT, "
     "n_valid BIGINT, n_rejected BIGINT, n_empty_lines BIGINT, status STRING"

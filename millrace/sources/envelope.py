@@ -12,6 +12,7 @@ from millrace.functions.rules import strict_variant
 from millrace.schemas import ENVELOPE
 
 UNDECODABLE = "undecodable"
+FILES_PER_TRIGGER = 1_000
 _CORRUPT = "_corrupt"
 
 
@@ -43,15 +44,15 @@ def file_stream(
     spark: SparkSession,
     path: str,
     schema: T.StructType = ENVELOPE,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = FILES_PER_TRIGGER,
 ) -> DataFrame:
     """Stream over Parquet files of the given layout; ``path`` is a folder or a file.
 
-    The braces make a glob of the path, which a stream accepts for a single file too.
+    A micro-batch takes a bounded number of files, so that a backlog is worked off in
+    steps and the watermark moves on between them. The braces make a glob of the path,
+    which a stream accepts for a single file too.
     """
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
     folder, _, name = path.rstrip("/").rpartition("/")
     return reader.parquet(f"{folder}/{{{name}}}")
 
