@@ -30,6 +30,10 @@ from millrace.llm.common import stored
 MIN_WORDS = 3
 NEAR_WORDS = 8
 LINE = ["h1", "h2"]
+#: Bits of the map that tells which lines may be wanted: 8 MB, whatever the input. Where
+#: it fills up, more lines than needed are shuffled; the join that follows is exact.
+MAP_BITS = 1 << 26
+_LONG_ENOUGH = rf"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{MIN_WORDS - 1}}}[^\x20\x09-\x0D]"
 _MARKS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -54,8 +58,24 @@ def _hashed(line: bytes) -> tuple[int, int]:
     return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
 
-def _scan(docs: DataFrame, with_text: bool) -> DataFrame:
-    """One row for each line that counts, with its halves or with its words."""
+def _bit_map(lines: DataFrame) -> bytearray:
+    """A bit for the low bits of each ``h1``."""
+    low = F.col("h1").bitwiseAND(F.lit(MAP_BITS - 1))
+    rows = (
+        lines.select(F.shiftright(low, 5).alias("cell"), F.expr("shiftleft(1L, int(h1 & 31))").alias("bit"))
+        .groupBy("cell")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    cells = np.zeros(MAP_BITS // 32, "<u4")
+    cells[rows.column("cell").to_numpy()] = rows.column("bits").to_numpy()
+    return bytearray(cells.tobytes())
+
+
+def _scan(docs: DataFrame, wanted=None) -> DataFrame:
+    """One row for each line that counts, with its halves, or with its words for those
+    lines only that the broadcast map ``wanted`` may hold."""
+    with_text = wanted is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,9 +87,14 @@ def _scan(docs: DataFrame, with_text: bool) -> DataFrame:
                     if len(words) < MIN_WORDS:
                         continue
                     line = b" ".join(words)
+                    pair = _hashed(line)
+                    if with_text:
+                        bit = pair[0] & (MAP_BITS - 1)
+                        if not wanted.value[bit >> 3] >> (bit & 7) & 1:
+                            continue
                     ids.append(doc_id)
                     places.append(place)
-                    hashes.append(_hashed(line))
+                    hashes.append(pair)
                     if with_text:
                         texts.append(line)
                         size += len(line)
@@ -179,9 +204,10 @@ def _near(docs: DataFrame, lines: DataFrame) -> DataFrame:
         "key IS NOT NULL"
     )
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    chosen = keys.join(shared, "key", "left_semi").select(*LINE).distinct()
+    chosen = stored(keys.join(shared, "key", "left_semi").select(*LINE).distinct(), "candidates")
+    wanted = docs.sparkSession.sparkContext.broadcast(_bit_map(chosen))
     texts = stored(
-        _scan(docs, with_text=True)
+        _scan(docs, wanted)
         .join(chosen, LINE, "left_semi")
         .dropDuplicates(LINE)
         .join(lines.select(*LINE, "first"), LINE),
@@ -238,7 +264,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     lines. Rows without doc_id take no part; rows that repeat a doc_id and a line are
     one place. Other columns are not read. An empty table gives an empty table.
     """
-    scanned = _scan(docs, with_text=False)
+    scanned = _scan(docs)
     occurrences = stored(scanned.select(*LINE, "doc_id", "place"), "places")
     halves = [f"k{i}" for i in range(4)]
     lines = stored(
@@ -270,8 +296,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines of ``repeated_lines`` taken out of their texts.
 
-    A document of which nothing but white space is left goes; one that had nothing else
-    before stays as it is. ``n_chars``, where there is such a column, follows the text.
+    A document goes if it loses lines and no line of ``MIN_WORDS`` words is left; one that
+    loses none stays as it is. ``n_chars``, where there is such a column, follows the text.
     Rows without doc_id stay unchanged.
     """
     gone = (
@@ -280,13 +306,13 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
         .agg(F.collect_set("line_no").alias("_gone"))
     )
     lines = F.split("text", "\n", -1)
-    left = F.array_join(
-        F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"
-    )
-    joined = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left").withColumn(
-        "_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
+    left = F.filter(lines, lambda x, i: ~F.array_contains("_gone", i))
+    joined = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left").withColumn("_left", left)
+    kept = joined.filter(
+        F.col("_gone").isNull() | F.exists("_left", lambda x: x.rlike(_LONG_ENOUGH))
+    ).withColumn(
+        "_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
     )
-    kept = joined.filter(F.col("_gone").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
     columns = {c: F.col(c) for c in docs.columns} | {"text": F.col("_text").alias("text")}
     if "n_chars" in columns:
         size = F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("_text"))
