@@ -58,11 +58,12 @@ def _hashed(line: bytes) -> tuple[int, int]:
     return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
 
-def _bit_map(lines: DataFrame) -> bytearray:
-    """A bit for the low bits of each ``h1``."""
-    low = F.col("h1").bitwiseAND(F.lit(MAP_BITS - 1))
+def _bit_map(rows: DataFrame, name: str) -> bytearray:
+    """A bit for the low bits of each hash in a column."""
+    low = F.col(name).bitwiseAND(F.lit(MAP_BITS - 1))
+    bit = F.expr(f"shiftleft(1L, int({name} & 31))")
     rows = (
-        lines.select(F.shiftright(low, 5).alias("cell"), F.expr("shiftleft(1L, int(h1 & 31))").alias("bit"))
+        rows.select(F.shiftright(low, 5).alias("cell"), bit.alias("bit"))
         .groupBy("cell")
         .agg(F.bit_or("bit").alias("bits"))
         .toArrow()
@@ -140,8 +141,11 @@ def variants(words: list[bytes]) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _with_variants(lines: DataFrame) -> DataFrame:
-    """``(v1, v2, missing)`` for each line and each missing word; -1 for the whole line."""
+def _with_variants(lines: DataFrame, wanted=None) -> DataFrame:
+    """``(v1, v2, missing)`` for each line and each missing word; -1 for the whole line.
+
+    With the broadcast map ``wanted``, only variants whose ``v1`` it may hold.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,9 +161,15 @@ def _with_variants(lines: DataFrame) -> DataFrame:
 
     def block(batch: pa.RecordBatch, found: list[np.ndarray], at: list[int]) -> pa.RecordBatch:
         sizes = [x.shape[1] for x in found]
-        taken = batch.select(["h1", "h2", "first"]).take(pa.array(np.repeat(at, sizes)))
+        line = np.repeat(at, sizes)
         both = np.concatenate(found, axis=1)
         missing = np.concatenate([np.arange(-1, n - 1, dtype=np.int32) for n in sizes])
+        if wanted is not None:
+            bit = both[0] & (MAP_BITS - 1)
+            cells = np.frombuffer(wanted.value, np.uint8)
+            kept = cells[bit >> 3] >> (bit & 7) & 1 == 1
+            line, both, missing = line[kept], both[:, kept], missing[kept]
+        taken = batch.select(["h1", "h2", "first"]).take(pa.array(line))
         return pa.record_batch(
             [both[0], both[1], missing, *taken.columns], ["v1", "v2", "missing", "h1", "h2", "first"]
         )
@@ -205,7 +215,7 @@ def _near(docs: DataFrame, lines: DataFrame) -> DataFrame:
     )
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     chosen = stored(keys.join(shared, "key", "left_semi").select(*LINE).distinct(), "candidates")
-    wanted = docs.sparkSession.sparkContext.broadcast(_bit_map(chosen))
+    wanted = docs.sparkSession.sparkContext.broadcast(_bit_map(chosen, "h1"))
     texts = stored(
         _scan(docs, wanted)
         .join(chosen, LINE, "left_semi")
@@ -213,7 +223,11 @@ def _near(docs: DataFrame, lines: DataFrame) -> DataFrame:
         .join(lines.select(*LINE, "first"), LINE),
         "lines",
     )
-    rows = stored(_with_variants(texts), "variants")
+    # Most variants occur once. They are counted as bare hashes first, and only those
+    # that may be shared become rows.
+    shared = _with_variants(texts).groupBy("v1").agg(F.count("*").alias("n")).filter("n > 1")
+    common = docs.sparkSession.sparkContext.broadcast(_bit_map(shared, "v1"))
+    rows = stored(_with_variants(texts, common), "variants")
 
     place = ["v1", "v2", "missing"]
     replaced = (
