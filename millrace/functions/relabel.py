@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Rule:
-    """``$n`` in name and labels stands for the n-th group of the pattern."""
+    """``$n`` in name, labels and value stands for the n-th group of the pattern.
+
+    ``value`` is what the sample is worth where its name tells it.
+    """
 
     pattern: str
     name: str
     kind: str
     labels: dict[str, str] = field(default_factory=dict)
+    value: str | None = None
 
 
 # Exporter rules of a message broker, tried in this order.
@@ -89,6 +93,70 @@ BROKER_RULES = (
         {"gc": "$1"},
     ),
 )
+# Exporter rules of a connector runtime, whose names end in ``attribute: value``.
+CONNECT_RULES = (
+    Rule(
+        r"kafka.connect<type=connector-metrics, connector=(.+)><>connector-class:\s*(.+)",
+        "kafka_connect_connector_info",
+        "UNTYPED",
+        {"connector": "$1", "connector_class": "$2"},
+        "1",
+    ),
+    Rule(
+        r"kafka.connect<type=connector-metrics, connector=(.+)><>"
+        r"status:\s*(running|paused|failed|destroyed|unassigned)",
+        "kafka_connect_connector_status",
+        "UNTYPED",
+        {"connector": "$1", "status": "$2"},
+        "1",
+    ),
+    Rule(
+        r"kafka.connect<type=connect-worker-metrics><>([a-z-]+):\s*([0-9.E+-]+)",
+        "kafka_connect_worker_$1",
+        "GAUGE",
+        {},
+        "$2",
+    ),
+    Rule(
+        r"kafka.connect<type=connect-worker-metrics, connector=(.+)><>([a-z-]+):\s*([0-9.E+-]+)",
+        "kafka_connect_worker_$2",
+        "GAUGE",
+        {"connector": "$1"},
+        "$3",
+    ),
+    Rule(
+        r"kafka.connect<type=connect-worker-rebalance-metrics><>([a-z-]+):\s*([0-9.E+-]+)",
+        "kafka_connect_worker_rebalance_$1",
+        "GAUGE",
+        {},
+        "$2",
+    ),
+    *[
+        Rule(
+            rf"kafka.connect<type={kind}-metrics, connector=(.+), task=(\d+)><>"
+            r"([a-z-]+):\s*([0-9.E+-]+)",
+            f"kafka_connect_{name}_$3",
+            "GAUGE",
+            {"connector": "$1", "task": "$2"},
+            "$4",
+        )
+        for kind, name in (
+            ("source-task", "source_task"),
+            ("sink-task", "sink_task"),
+            ("connector-task", "task"),
+            ("task-error", "task_error"),
+        )
+    ],
+    Rule(r"java.lang<type=Memory><HeapMemoryUsage>used", "jvm_memory_heap_used_bytes", "GAUGE"),
+    Rule(r"java.lang<type=Memory><NonHeapMemoryUsage>used", "jvm_memory_nonheap_used_bytes", "GAUGE"),
+    Rule(
+        r"java.lang<name=(.+), type=GarbageCollector><>CollectionCount",
+        "jvm_gc_collection_count",
+        "COUNTER",
+        {"gc": "$1"},
+    ),
+    Rule(r"java.lang<type=Threads><>ThreadCount", "jvm_threads_current", "GAUGE"),
+)
 BROKER_ADDRESS = r"kafka([0-9]+):.*"
 # End of fixed values.
 
@@ -100,13 +168,20 @@ def _expand(raw: Column, pattern: str, template: str) -> Column:
     )
 
 
+def _stated(raw: Column, rule: Rule) -> Column:
+    told = F.lit(None) if rule.value is None else _expand(raw, rule.pattern, rule.value)
+    return told.try_cast("double").alias("stated_value")
+
+
 def relabel(
     df: DataFrame, raw: str = "raw_name", rules: tuple[Rule, ...] = BROKER_RULES
 ) -> DataFrame:
     """Adds ``metric``, ``labels`` and ``metric_type`` of the first rule that matches.
 
-    Names without a rule keep null in all three.
+    Signs that no metric name may have become ``_``. With rules that tell values, the
+    double ``stated_value`` is added too. Names without a rule keep null in all of them.
     """
+    with_value = any(rule.value is not None for rule in rules)
     source = F.col(raw)
     outcome = None
     for rule in rules:
@@ -116,11 +191,14 @@ def relabel(
             for part in (F.lit(label), _expand(source, rule.pattern, template))
         ]
         built = F.struct(
-            F.lower(_expand(source, rule.pattern, rule.name)).alias("metric"),
+            F.regexp_replace(
+                F.lower(_expand(source, rule.pattern, rule.name)), "[^a-z0-9:_]", "_"
+            ).alias("metric"),
             (F.create_map(*labels) if labels else F.create_map())
             .cast("map<string,string>")
             .alias("labels"),
             F.lit(rule.kind).alias("metric_type"),
+            *([_stated(source, rule)] if with_value else []),
         )
         hit = source.rlike(rule.pattern)
         outcome = F.when(hit, built) if outcome is None else outcome.when(hit, built)

@@ -297,6 +297,34 @@ def relabelled_metrics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_CONNECT_RAW = """CASE event_type
+  WHEN 'view' THEN 'kafka.connect<type=connect-worker-metrics, connector=c' || user_id || '><>connector-running-task-count: ' || (event_id % 9)
+  WHEN 'click' THEN 'kafka.connect<type=connector-metrics, connector=c' || user_id || '><>status: paused'
+  WHEN 'purchase' THEN 'kafka.connect<type=sink-task-metrics, connector=c' || user_id || ', task=3><>put-batch-avg-time-ms: 1.5E2'
+  WHEN 'signup' THEN 'kafka.connect<type=connect-worker-metrics><>task-count: ' || (event_id % 5)
+  ELSE 'kafka.connect<type=other><>x: 1' END"""
+
+
+@query(
+    "connect_metrics",
+    """SELECT event_id, CASE event_type WHEN 'view' THEN 'kafka_connect_worker_connector_running_task_count'
+         WHEN 'click' THEN 'kafka_connect_connector_status' WHEN 'purchase' THEN 'kafka_connect_sink_task_put_batch_avg_time_ms'
+         WHEN 'signup' THEN 'kafka_connect_worker_task_count' END AS metric,
+       CASE WHEN event_type IN ('view', 'click', 'purchase') THEN 'c' || user_id END AS connector,
+       CASE event_type WHEN 'click' THEN 'paused' END AS status,
+       CASE WHEN event_type = 'click' THEN 'UNTYPED' WHEN event_type <> 'error' THEN 'GAUGE' END AS metric_type,
+       CASE event_type WHEN 'view' THEN (event_id % 9)::DOUBLE WHEN 'click' THEN 1.0 WHEN 'purchase' THEN 150.0
+         WHEN 'signup' THEN (event_id % 5)::DOUBLE END AS stated_value FROM events""",
+)
+def connect_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of a connector runtime, which tell the value: metric, labels, type, value."""
+    raw = table(spark, folder, "events").select("event_id", F.expr(_CONNECT_RAW).alias("raw_name"))
+    return relabel.relabel(raw, rules=relabel.CONNECT_RULES).select(
+        "event_id", "metric", M.label("connector").alias("connector"), M.label("status").alias("status"),
+        "metric_type", "stated_value",
+    )
+
+
 @query(
     "status_panel",
     """SELECT connector, max(v) FILTER (WHERE event_type = 'view') AS "Running",
