@@ -17,6 +17,7 @@ from millrace.streaming.sinks import FILE_TRIGGER, history, record_commit, with_
 
 MERGE = "MERGE"
 COMPACT = "COMPACT"
+COMPACT_EVERY = 100
 
 
 def upsert_stream(
@@ -27,10 +28,13 @@ def upsert_stream(
     newest_by: tuple[str, ...] = NEWEST_BY,
     every: str | None = FILE_TRIGGER,
     output_mode: str = "append",
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Applies a stream of changes. A batch that runs again replaces its own version.
 
-    ``output_mode='update'`` serves aggregates whose rows are emitted repeatedly.
+    ``output_mode='update'`` serves aggregates whose rows are emitted repeatedly. Every
+    ``compact_every``-th batch folds all versions into a new base, so that readers have
+    a bounded number of versions to merge.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -40,6 +44,8 @@ def upsert_stream(
         reduced.write.mode("overwrite").parquet(folder)
         n = session.read.schema(reduced.schema).parquet(folder).count()
         record_commit(session, table, batch_id, MERGE, n)
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            compact(session, table, keys, newest_by)
 
     writer = (
         changes.writeStream.foreachBatch(apply)

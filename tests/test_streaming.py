@@ -135,6 +135,14 @@ def test_upserts_in_any_portions(spark, tmp_path):
     upsert_stream(again, f"{tmp_path}/b", f"{tmp_path}/ck2", ["order_id"], every=None).awaitTermination()
     other = read_current(spark, f"{tmp_path}/b", ["order_id"]).collect()
     assert {(r["order_id"], r["status"]) for r in other} == {(1, "sent"), (3, "new")}
+    # With a new base after every second batch: the deletion mark lies in the base.
+    third = E.file_stream(spark, f"{tmp_path}/in", stream.schema, max_files_per_trigger=1)
+    table = f"{tmp_path}/c"
+    upsert_stream(third, table, f"{tmp_path}/ck3", ["order_id"], every=None, compact_every=2).awaitTermination()
+    assert current() == {(1, "sent"), (3, "new")}
+    kinds = [(r["version"], r["operation"]) for r in history(spark, table).collect()]
+    assert sorted(kinds) == [(0, "MERGE"), (1, "COMPACT"), (1, "MERGE"), (2, "MERGE")]
+    assert compact(spark, table, ["order_id"]) == compact(spark, table, ["order_id"]) == 2
 
 
 def framed(document: str) -> bytes:
