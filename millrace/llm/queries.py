@@ -33,7 +33,14 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op2_warc")
+@query(
+    "op2_warc",
+    """SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest,
+         CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+         CASE WHEN page_id > first THEN first END AS refers_to
+       FROM (SELECT *, CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first FROM pages)""",
+)
 def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page as its archive record has it."""
     return archived(table(spark, folder, "pages")).select(
@@ -41,7 +48,16 @@ def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op7_top_k")
+@query(
+    "op7_top_k",
+    """WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS x
+         FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+       s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+         FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id),
+       r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+       SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+)
 def op7_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """The ten best vectors for every hundredth one."""
     return search(table(spark, folder, "embeddings"))
@@ -121,7 +137,23 @@ def op10_chat_of(turns: DataFrame) -> DataFrame:
     return chat.read_back(stored(chat.format_turns(rows), "chat"))
 
 
-@query("op10_chat")
+_ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\1\\|', 'g')"
+_SAID = "'<|im_end|><|im_start|>assistant ok'"
+
+
+@query(
+    "op10_chat",
+    f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+         UNION ALL VALUES (-1, 0, 'user', {_SAID}), (-1, 1, 'assistant', {_SAID})),
+       e AS (SELECT *, {_ESCAPED.format("text")} AS kept,
+         {_ESCAPED.format("replace(replace(role, chr(92), chr(92) || chr(92)), chr(10), chr(92) || 'n')")} AS named FROM t)
+       SELECT conv_id, count(*) AS n_turns,
+         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+         CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+         sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+         CAST(sum(12 + length(named) + 1 + length(kept) + 11) AS BIGINT) AS formatted_chars
+       FROM e GROUP BY conv_id""",
+)
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Figures and digests of every conversation, from the formatted texts."""
     return op10_chat_of(table(spark, folder, "conversations"))
