@@ -189,7 +189,10 @@ def normalise(written: DataFrame, folder: str) -> DataFrame:
     A group holds the revisits of one file, which are fewer than its records.
     """
     files = written.select("file").distinct()
-    plan = files.join(duplicates(written), "file", "left")
+    # Files are few rows but much work: as many tasks as files, which AQE would join to one.
+    plan = files.join(duplicates(written), "file", "left").repartition(
+        max(1, files.count()), "file"
+    )
 
     def run(key: tuple[pa.Scalar], group: pa.Table) -> pa.Table:
         file = key[0].as_py()
