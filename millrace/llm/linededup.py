@@ -58,7 +58,7 @@ def _hashed(line: bytes) -> tuple[int, int]:
     return int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
 
 
-def _bit_map(rows: DataFrame, name: str) -> bytearray:
+def bit_map(rows: DataFrame, name: str) -> bytearray:
     """A bit for the low bits of each hash in a column."""
     low = F.col(name).bitwiseAND(F.lit(MAP_BITS - 1))
     bit = F.expr(f"shiftleft(1L, int({name} & 31))")
@@ -215,7 +215,7 @@ def _near(docs: DataFrame, lines: DataFrame) -> DataFrame:
     )
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     chosen = stored(keys.join(shared, "key", "left_semi").select(*LINE).distinct(), "candidates")
-    wanted = docs.sparkSession.sparkContext.broadcast(_bit_map(chosen, "h1"))
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_map(chosen, "h1"))
     texts = stored(
         _scan(docs, wanted)
         .join(chosen, LINE, "left_semi")
@@ -226,7 +226,7 @@ def _near(docs: DataFrame, lines: DataFrame) -> DataFrame:
     # Most variants occur once. They are counted as bare hashes first, and only those
     # that may be shared become rows.
     shared = _with_variants(texts).groupBy("v1").agg(F.count("*").alias("n")).filter("n > 1")
-    common = docs.sparkSession.sparkContext.broadcast(_bit_map(shared, "v1"))
+    common = docs.sparkSession.sparkContext.broadcast(bit_map(shared, "v1"))
     rows = stored(_with_variants(texts, common), "variants")
 
     place = ["v1", "v2", "missing"]

@@ -16,11 +16,14 @@
    ``BLOCK`` members is cut into blocks by hash, and each pair of blocks is a run of
    its own.
 5. Components come from star rounds over those links.
+
+``similar_groups`` takes such links, and common bands of least hashes, for proposals only:
+it compares the shingle sets of all documents that proposals connect.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
 from millrace.llm.components import components
+from millrace.llm.linededup import MAP_BITS, bit_map
 
 BITS = 64
 #: Members of a bucket that are compared in one run; larger buckets are cut.
@@ -40,9 +44,20 @@ BLOCK = 4096
 #: Shingles hashed at a time, which bounds the memory a long text takes.
 HASHES_AT_ONCE = 1 << 16
 
+#: Bands of least hashes, and hashes in a band: two sets with a Jaccard similarity of 0.8
+#: have no band in common with a probability of 0.0004.
+BANDS, IN_BAND = 20, 5
+#: Documents and shingles of a group that are compared in one run; larger groups are cut.
+GROUP_BLOCK, SHINGLE_BLOCK = 1024, 1 << 19
+
 _SET = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
 
+_RANDOM = np.random.default_rng(20)
+_FACTORS = _RANDOM.integers(0, 1 << 63, BANDS * IN_BAND, np.uint64) * np.uint64(2) + np.uint64(1)
+_ADDED = _RANDOM.integers(0, 1 << 63, BANDS * IN_BAND, np.uint64)
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     """A second, independent 64-bit hash of each hash."""
     z = h + np.uint64(0x9E3779B97F4A7C15)
@@ -66,31 +81,41 @@ def _packed(ones: np.ndarray, total: int) -> int:
     return int(bits.view("<i8")[0])
 
 
-def fingerprint(text: str | None, words: int, wide: bool) -> tuple[int, int]:
-    """The two signed fingerprints of a text; the second is 0 unless ``wide``."""
+def _shingles(text: str | None, words: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of a text, a bounded number at a time; none without words."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0, 0
+        return
     line = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     total = max(1, len(tokens) - words + 1)
-    ones, more = np.zeros(BITS, np.int64), np.zeros(BITS, np.int64)
     digest = xxhash.xxh64_intdigest
     for i in range(0, total, HASHES_AT_ONCE):
         j = min(total, i + HASHES_AT_ONCE)
         last = ends[np.minimum(np.arange(i, j) + words, len(tokens)) - 1]
-        h = np.fromiter(
+        yield np.fromiter(
             (digest(line[s:e], 42) for s, e in zip(starts[i:j].tolist(), last.tolist())),
             np.uint64,
             j - i,
         )
+
+
+def _prints(blocks: Iterable[np.ndarray], wide: bool) -> tuple[int, int]:
+    total, ones, more = 0, np.zeros(BITS, np.int64), np.zeros(BITS, np.int64)
+    for h in blocks:
+        total += len(h)
         ones += _ones(h)
         if wide:
             more += _ones(_mix(h))
     return _packed(ones, total), _packed(more, total) if wide else 0
 
 
+def fingerprint(text: str | None, words: int, wide: bool) -> tuple[int, int]:
+    """The two signed fingerprints of a text; the second is 0 unless ``wide``."""
+    return _prints(_shingles(text, words), wide)
+
+
 def fingerprints(docs: DataFrame, words: int = 4, wide: bool = False) -> DataFrame:
     """``(doc_id, fp, fp2)`` for every row of ``docs``; other columns are not read.
 
@@ -387,14 +412,198 @@ def near_duplicates(
     )
 
 
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """The different shingle hashes of a text, sorted."""
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *_shingles(text, words)]))
+
+
+def bands(shingles: np.ndarray) -> np.ndarray:
+    """A signed key for each band: equal for two sets if all least hashes of the band are."""
+    least = np.full(BANDS * IN_BAND, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(shingles), 1024):
+        h = _mix(shingles[i : i + 1024])[:, None]
+        np.minimum(least, (h * _FACTORS + _ADDED).min(axis=0), out=least)
+    keys = np.arange(BANDS, dtype=np.uint64)
+    for column in least.reshape(BANDS, IN_BAND).T:
+        keys = _mix(keys ^ column)
+    return keys.view(np.int64)
+
+
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
+    """``(doc_id, fp, fp2, s1, s2, size, bands)``: two fingerprints, a 128-bit hash of the
+    shingle set, its size, and the keys of its bands."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keys = [], []
+            for text in batch.column(1):
+                blocks = list(_shingles(text.as_py(), words))
+                shingles = np.unique(np.concatenate([np.empty(0, np.uint64), *blocks]))
+                digest = np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), "<i8")
+                rows.append((*_prints(blocks, True), *digest.tolist(), len(shingles)))
+                keys.append(bands(shingles) if len(shingles) else [])
+            columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 5
+            yield pa.record_batch(
+                [batch.column(0).cast(pa.int64()), *columns, pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "fp", "fp2", "s1", "s2", "size", "bands"],
+            )
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return rows.mapInArrow(
+        run, "doc_id bigint, fp bigint, fp2 bigint, s1 bigint, s2 bigint, size bigint, bands array<bigint>"
+    )
+
+
+def _proposed(nodes: DataFrame, max_bits: int, max_wide: int) -> DataFrame:
+    """``(a, b)``: links that connect all nodes with close fingerprints or a common band."""
+    prints = nodes.groupBy("fp", "fp2").agg(F.min("node").alias("node"), F.count("*").alias("n"))
+    prints = stored(prints, "prints")
+    same = (
+        nodes.join(prints.filter("n > 1").select("fp", "fp2", F.col("node").alias("b")), ["fp", "fp2"])
+        .select(F.col("node").alias("a"), "b")
+    )
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
+    banded = keys.join(shared, "key").select(F.col("node").alias("a"), "b")
+    return links(prints.drop("n"), max_bits, max_wide).union(same).union(banded).filter("a <> b")
+
+
+def _similar_forest(
+    nodes: list[int], sets: list[np.ndarray], similarity: float
+) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose Jaccard similarity is high enough: each member
+    found takes its neighbours among those not yet found. Overlaps with all members are
+    counted at once, by the lists of members that each shingle has."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    ends = np.cumsum(sizes)
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1].reshape(-1)
+    owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(ids, kind="stable")]
+    length = np.bincount(ids)
+    start = np.cumsum(length) - length
+    found: list[tuple[int, int]] = []
+    rest = np.ones(len(sets), bool)
+    for first in range(len(sets)):
+        if not rest[first]:
+            continue
+        frontier, rest[first] = [first], False
+        while frontier and rest.any():
+            x = frontier.pop()
+            mine = ids[ends[x] - sizes[x] : ends[x]]
+            n = length[mine]
+            at = np.repeat(start[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            overlap = np.bincount(owners[at], minlength=len(sets))
+            hit = rest & (overlap >= similarity * (sizes[x] + sizes - overlap) - 1e-9)
+            near = np.flatnonzero(hit).tolist()
+            found += [(nodes[x], nodes[y]) for y in near]
+            frontier += near
+            rest[near] = False
+    return found
+
+
+def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, similarity: float):
+    """``(a, b)``: links that connect the members of each group whose shingle sets are
+    similar. A run reads one group, or two blocks of a large one; all pairs of blocks meet."""
+    spark = docs.sparkSession
+    placed = nodes.select("node", "size").join(groups, "node")
+    totals = placed.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    blocks = F.greatest(F.ceil(F.col("n") / GROUP_BLOCK), F.ceil(F.col("size") / SHINGLE_BLOCK))
+    dealt = placed.select("node", "component").join(
+        totals.select("component", F.greatest(blocks, F.lit(1)).cast("bigint").alias("blocks")), "component"
+    )
+    dealt = stored(dealt, "members")
+    wanted = spark.sparkContext.broadcast(bit_map(dealt.select(F.xxhash64("node").alias("h")), "h"))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.frombuffer(wanted.value, np.uint8)
+        for batch in batches:
+            bit = batch.column("h").to_numpy(zero_copy_only=False) & (MAP_BITS - 1)
+            yield batch.filter(pa.array(cells[bit >> 3] >> (bit & 7) & 1 == 1)).drop_columns(["h"])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                made = [shingle_set(t.as_py(), words).tobytes() for t in part.column("text")]
+                yield part.drop_columns(["text"]).append_column("shingles", pa.array(made, pa.binary()))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members, held = None, [], []
+
+        def pairs() -> list[tuple[int, int]]:
+            return _similar_forest(members, held, similarity) if len(members) > 1 else []
+
+        for batch in batches:
+            out = []
+            columns = [batch.column(c).to_pylist() for c in ("component", "block", "node")]
+            for *key, node, raw in zip(*columns, batch.column("shingles")):
+                if key != now:
+                    out += pairs()
+                    now, members, held = key, [], []
+                members.append(node)
+                held.append(np.frombuffer(raw.as_py(), np.uint64))
+            if out:
+                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+        if out := pairs():
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+
+    ids = F.col("doc_id").cast("bigint")
+    texts = docs.filter("doc_id IS NOT NULL").select(
+        ids.alias("node"), F.xxhash64(ids).alias("h"), "text"
+    )
+    n = F.col("blocks")
+    mine = F.pmod(F.xxhash64("node"), n)
+    spread = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), n - 1),
+        lambda other: F.least(mine, other) * n + F.greatest(mine, other),
+    )
+    rows = (
+        texts.mapInArrow(chosen, "node bigint, text string")
+        .join(dealt, "node")
+        .mapInArrow(sets, "node bigint, component bigint, blocks bigint, shingles binary")
+        .withColumn("block", F.explode(spread))
+        .select("component", "block", "node", "shingles")
+        .repartition("component", "block")
+        .sortWithinPartitions("component", "block")
+    )
+    return rows.mapInArrow(compared, "a bigint, b bigint")
+
+
+def similar_groups(
+    docs: DataFrame, words: int = 5, max_bits: int = 8, max_wide: int = 19, similarity: float = 0.8
+) -> DataFrame:
+    """``(doc_id, component_id)`` for every row of ``docs`` with a doc_id.
+
+    Two documents are linked if the Jaccard similarity of their sets of shingles is
+    ``similarity`` or more; the component is the smallest doc_id that links reach. Which
+    pairs to compare is proposed by fingerprints within the bounds of ``near_duplicates``
+    and by common bands of least hashes; what a chain of proposals connects is compared by
+    the sets themselves. Texts without words are alike, and like no other. Rows that share
+    a doc_id are one document.
+    """
+    sketches = stored(_sketches(docs.filter("doc_id IS NOT NULL"), words), "sketches")
+    nodes = stored(
+        sketches.groupBy("s1", "s2").agg(
+            F.min("doc_id").alias("node"),
+            *[F.first(c).alias(c) for c in ("fp", "fp2", "size", "bands")],
+        ),
+        "nodes",
+    )
+    groups = components(_proposed(nodes, max_bits, max_wide))
+    grouped = components(_verified(docs, nodes, groups, words, similarity))
+    named = nodes.join(grouped, "node", "left").select(
+        "s1", "s2", F.coalesce("component", "node").alias("component_id")
+    )
+    return sketches.join(named, ["s1", "s2"]).select("doc_id", "component_id")
+
+
 def keep_one_of_each_group(
-    docs: DataFrame, words: int = 5, max_bits: int = 8, max_wide: int = 19
+    docs: DataFrame, words: int = 5, max_bits: int = 8, max_wide: int = 19, similarity: float = 0.8
 ) -> DataFrame:
     """``docs`` without the documents whose group has a member of smaller doc_id.
 
-    Rows without doc_id stay. Of rows that repeat a doc_id, those of the kept document
-    stay, as the id is what is kept.
+    Groups are those of ``similar_groups``. Rows without doc_id stay. Of rows that repeat
+    a doc_id, those of the kept document stay, as the id is what is kept.
     """
-    found = near_duplicates(docs, words, max_bits, max_wide)
+    found = similar_groups(docs, words, max_bits, max_wide, similarity)
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")

@@ -115,3 +115,37 @@ def test_empty_table_and_stage(spark):
     kept = simhash.keep_one_of_each_group(docs)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 2, 9]
+
+
+def test_similar_pairs_are_found_and_others_are_not(spark, monkeypatch):
+    """Word-shingle Jaccard similarities around 0.8, against a comparison of all pairs."""
+    monkeypatch.setattr(simhash, "GROUP_BLOCK", 4)
+    rng = random.Random(2)
+    rows = []
+    for k in range(120):
+        base = [f"a{rng.randrange(10**6)}" for _ in range(rng.choice([12, 60, 200]))]
+        rows.append((1000 * k, " ".join(base), "x", 1))
+        for n in range(1, rng.choice([2, 2, 9])):
+            cut = rng.randint(1, max(2, len(base) // 4))
+            rows.append((1000 * k + n, " ".join(base[cut:] + [f"b{rng.randrange(10**6)}" for _ in range(cut // 8)]), "x", 1))
+    rows += [(5 * 10**6, None, "x", 1), (5 * 10**6 + 1, "", "x", 1), (5 * 10**6 + 2, rows[0][1] + "\n", "x", 1)]
+
+    def shingles(text):
+        w = (text or "").split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))}
+
+    sets = {i: shingles(t) for i, t, *_ in rows}
+    label = {i: i for i in sets}
+    pairs = {}
+    for a in sets:
+        for b in sets:
+            if a < b and (both := len(sets[a] & sets[b])):
+                pairs[a, b] = both / len(sets[a] | sets[b])
+    for (a, b), j in sorted(pairs.items()):
+        if j >= 0.8 and label[a] != label[b]:
+            x, y = sorted((label[a], label[b]))
+            label = {i: x if g == y else g for i, g in label.items()}
+    assert sum(0.8 <= j < 0.85 for j in pairs.values()) > 20 and sum(0.6 < j < 0.8 for j in pairs.values()) > 20
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(docs).collect()}
+    assert got == label
