@@ -20,8 +20,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier same or near line stands for."""
-    return without_repeated_lines(docs)
+    """Texts without the lines that an earlier same or near line stands for; a document
+    goes if that leaves nothing but white space."""
+    return without_repeated_lines(docs, least_words=1)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

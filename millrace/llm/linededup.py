@@ -33,7 +33,6 @@ LINE = ["h1", "h2"]
 #: Bits of the map that tells which lines may be wanted: 8 MB, whatever the input. Where
 #: it fills up, more lines than needed are shuffled; the join that follows is exact.
 MAP_BITS = 1 << 26
-_LONG_ENOUGH = rf"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{MIN_WORDS - 1}}}[^\x20\x09-\x0D]"
 _MARKS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -307,13 +306,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, least_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with the lines of ``repeated_lines`` taken out of their texts.
 
-    A document goes if it loses lines and no line of ``MIN_WORDS`` words is left; one that
-    loses none stays as it is. ``n_chars``, where there is such a column, follows the text.
+    A document goes if it loses lines and no line of ``least_words`` words is left; with 1,
+    only if nothing but white space is. One that loses none stays as it is. ``n_chars``, where there is such a column, follows the text.
     Rows without doc_id stay unchanged.
     """
+    left_over = rf"(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]+){{{least_words - 1}}}[^\x20\x09-\x0D]"
     gone = (
         repeated_lines(docs)
         .groupBy(F.col("doc_id").alias("_doc"))
@@ -323,7 +323,7 @@ def without_repeated_lines(docs: DataFrame) -> DataFrame:
     left = F.filter(lines, lambda x, i: ~F.array_contains("_gone", i))
     joined = docs.join(gone, F.col("doc_id") == F.col("_doc"), "left").withColumn("_left", left)
     kept = joined.filter(
-        F.col("_gone").isNull() | F.exists("_left", lambda x: x.rlike(_LONG_ENOUGH))
+        F.col("_gone").isNull() | F.exists("_left", lambda x: x.rlike(left_over))
     ).withColumn(
         "_text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
     )

@@ -99,3 +99,14 @@ def test_hot_line_long_text_and_empty_table(spark):
     got = ld.repeated_lines(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {(r.doc_id, r.line_no) for r in got} == {(i, 0) for i in range(1, 200)} | {(501, 0)}
     assert ld.repeated_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_stage_keeps_texts_without_spaces_and_short_lines(spark):
+    import corpus_pipeline
+
+    shared = "All rights reserved.\n"
+    texts = ["first of all", "今天天气很好。我们一起去公园散步。", "apple\npear\nplum", "", " \t\n"]
+    docs = [(i, shared + t, 0, "x", 1) for i, t in enumerate(texts)]
+    stage = dict(corpus_pipeline.STAGES)["line_dedup"]
+    out = stage(spark, spark.createDataFrame(docs, SCHEMA), "")
+    assert {r.doc_id: r.text for r in out.collect()} == {0: shared + texts[0], 1: texts[1], 2: texts[2]}
