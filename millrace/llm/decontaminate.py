@@ -8,6 +8,12 @@ placeholders are joined by hash. What stood at the placeholders must fit: along
 alignment of a document with an item, one value of the item must always meet one value
 of the document. So a copy with other numbers or names is found, and a document that
 only has the same phrases around unrelated values is not.
+
+What that misses is looked for in two further ways. ``unnamed``: templates of texts in
+lower case without names, for copies in any case and in any place of a sentence.
+``linked``: a name at the start of a sentence counts if the text has it inside a sentence
+too, and a row of names is one placeholder; the first word of an item is tried as a name as
+well.
 """
 
 from __future__ import annotations
@@ -26,6 +32,8 @@ BROADCAST_HASHES = 1_000_000
 
 # Markers of private use for numbers, names, units and decimal separators.
 NUMBER, NAME, UNIT, POINT = "\ue000", "\ue001", "\ue002", "\ue003"
+#: Another one, for capitalised words at the start of a sentence.
+INITIAL = "\ue004"
 
 # Units that may follow a number.
 UNITS = (
@@ -60,8 +68,7 @@ def marked(text: Column) -> Column:
     out = F.coalesce(text, F.lit(""))
     for pattern, put in STEPS:
         out = F.regexp_replace(out, pattern, put)
-    apart = F.regexp_replace(F.lower(out), OTHER, " ")
-    return F.trim(F.regexp_replace(apart, " {2,}", " "))
+    return _plain(out)
 
 
 def template(words: Column) -> Column:
@@ -69,9 +76,60 @@ def template(words: Column) -> Column:
     return F.regexp_replace(words, PLACEHOLDER, "$1")
 
 
-def _windows(df: DataFrame, key: str) -> DataFrame:
+def _plain(out: Column) -> Column:
+    """Lower case, single spaces for what separates words."""
+    apart = F.regexp_replace(F.lower(out), OTHER, " ")
+    return F.trim(F.regexp_replace(apart, " {2,}", " "))
+
+
+def named(df: DataFrame, key: str) -> DataFrame:
+    """``(key, m)``: the marked words of each text."""
+    return df.select(key, marked(F.col("text")).alias("m"))
+
+
+def unnamed(df: DataFrame, key: str) -> DataFrame:
+    """The same in lower case, with numbers and units marked only."""
+    out = F.lower(F.coalesce("text", F.lit("")))
+    for pattern, put in STEPS:
+        if NAME not in put:
+            out = F.regexp_replace(out, pattern, put)
+    return df.select(key, _plain(out).alias("m"))
+
+
+def linked(df: DataFrame, key: str) -> DataFrame:
+    """The same with names at the start of a sentence that occur inside one too, and with
+    one placeholder for a row of names."""
+    out = F.coalesce("text", F.lit(""))
+    for i, (pattern, put) in enumerate(STEPS):
+        out = F.regexp_replace(out, pattern, put)
+        if NAME in put and NAME not in STEPS[i + 1][1]:
+            out = F.regexp_replace(out, r"(^ ?|[.!?] )(\p{Lu}\p{Ll}+)", rf"$1{INITIAL}$2")
+
+    def behind(words: str, marker: str) -> Column:
+        held = F.filter(words, lambda w: w.startswith(marker))
+        return F.transform(held, lambda w: F.substring(w, 2, 1 << 20))
+
+    words = df.select(key, F.split(_plain(out), " ").alias("w"))
+    both = F.array_intersect(behind("w", INITIAL), behind("w", NAME))
+    # ``both`` is used twice, so that it is made once a text and not once a word.
+    resolved = F.when(
+        F.size("both") > 0,
+        F.transform(
+            "w",
+            lambda w: F.when(
+                w.startswith(INITIAL) & F.array_contains("both", F.substring(w, 2, 1 << 20)),
+                F.concat(F.lit(NAME), F.substring(w, 2, 1 << 20)),
+            ).otherwise(w),
+        ),
+    ).otherwise(F.col("w"))
+    named_too = words.select(key, "w", both.alias("both")).select(key, resolved.alias("w"))
+    text = F.regexp_replace(F.array_join("w", " "), INITIAL, "")
+    return named_too.select(key, F.regexp_replace(text, rf"({NAME}[^ ]*) (?={NAME})", "$1-").alias("m"))
+
+
+def _windows(df: DataFrame, key: str, make=named) -> DataFrame:
     """``(key, at, h, window, values)``: every window, its hash and what stood there."""
-    words = df.select(key, marked(F.col("text")).alias("m")).select(
+    words = make(df, key).select(
         key, F.split("m", " ").alias("values"), F.split(template(F.col("m")), " ").alias("words")
     )
     # A condition on the number of words below the generator, stated or inferred, would
@@ -84,12 +142,12 @@ def _windows(df: DataFrame, key: str) -> DataFrame:
     return placed.select(key, "at", hashed.alias("h"), "values", "words")
 
 
-def item_windows(benchmark: DataFrame) -> DataFrame:
+def item_windows(benchmark: DataFrame, make=named) -> DataFrame:
     """``(item_id, at, h, values, words)``: the windows of the items that count.
 
     Items of fewer than ``WINDOW`` words have none. Rows without item_id take no part.
     """
-    windows = _windows(benchmark.filter("item_id IS NOT NULL"), "item_id").select(
+    windows = _windows(benchmark.filter("item_id IS NOT NULL"), "item_id", make).select(
         "item_id",
         "at",
         "h",
@@ -100,18 +158,11 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return windows.filter(literals >= LITERALS).dropDuplicates(["item_id", "at", "h"])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``(doc_id, item_id, windows, item_windows, same_values)`` for each leaked item.
-
-    ``windows``: places of the item that consistent alignments with the document meet;
-    ``same_values``: whether all values are the item's own. Null and empty texts match
-    nothing. Rows without doc_id or item_id take no part; rows that share a doc_id
-    count as one document. Empty tables give an empty table.
-    """
-    items = stored(item_windows(benchmark), "item-windows")
+def _found(docs: DataFrame, items: DataFrame, make) -> DataFrame:
+    """What ``judged`` says of the documents' windows that items have."""
     hashes = items.select("h").distinct()
     blocks = max(1, -(-hashes.count() // BROADCAST_HASHES))
-    windows = _windows(docs.filter("doc_id IS NOT NULL"), "doc_id")
+    windows = _windows(docs.filter("doc_id IS NOT NULL"), "doc_id", make)
     hits = None
     for block in range(blocks):
         these = hashes.filter(F.pmod("h", F.lit(blocks)) == block)
@@ -122,6 +173,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return judged(hits, items)
 
 
+def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``(doc_id, item_id, windows, item_windows, same_values)`` for each leaked item.
+
+    ``windows``: places of the item that consistent alignments with the document meet;
+    ``same_values``: whether all values are the item's own. The figures are those of the
+    templates with names; where these don't find the item, of the further way that meets
+    most windows. Null and empty texts match
+    nothing. Rows without doc_id or item_id take no part; rows that share a doc_id
+    count as one document. Empty tables give an empty table.
+    """
+    found = _found(docs, stored(item_windows(benchmark), "item-windows"), named)
+    found = found.withColumn("way", F.lit(1))
+
+    lower = stored(item_windows(benchmark, unnamed), "item-windows")
+    more = _found(docs, lower, unnamed)
+    # A comma before the first word of an item makes it a name.
+    twice = benchmark.filter("item_id IS NOT NULL").select(
+        F.col("item_id").alias("id"),
+        F.explode(F.array("text", F.concat(F.lit(", "), F.col("text")))).alias("text"),
+    )
+    twice = twice.select(F.struct("id", F.col("text").startswith(", ").alias("name")).alias("item_id"), "text")
+    loose = _found(docs, stored(item_windows(twice, linked), "item-windows"), linked)
+    more = more.union(loose.withColumn("item_id", F.col("item_id.id")))
+
+    best = F.struct("way", "windows", "item_windows", "same_values")
+    return (
+        found.union(more.withColumn("way", F.lit(0)))
+        .groupBy("doc_id", "item_id")
+        .agg(F.max(best).alias("best"))
+        .select("doc_id", "item_id", "best.windows", "best.item_windows", "best.same_values")
+    )
+
+
 def judged(hits: DataFrame, items: DataFrame) -> DataFrame:
     """Alignments of the hits whose values fit, and the items that enough of them meet."""
     theirs = items.select(

@@ -82,3 +82,20 @@ def test_hashes_in_several_blocks_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(d, "BROADCAST_HASHES", 7)
     assert set(run(spark, [(1, QUESTION)], [(1, QUESTION)])) == {(1, 1)}
     assert run(spark, [], [(1, QUESTION)]) == {} == run(spark, [(1, QUESTION)], [])
+
+
+def test_names_at_starts_rows_of_names_and_any_case(spark):
+    tom = "Tom has 5 apples. Tom buys 3 more. How many apples does Tom have?"
+    towns = "Yesterday the train from Boston to Chicago left early, so people from Boston had to wait for Chicago again."
+    filler = "some other words that stand around it and are never part of any question "
+    docs = [
+        (1, filler + tom.replace("Tom", "Ann")),
+        (2, filler + towns.replace("Boston", "New York").replace("Chicago", "Los Angeles")),
+        (3, (filler + QUESTION + " " + filler).title()),
+        (4, (filler + QUESTION).lower()),
+        (5, filler * 9),
+        (6, filler + towns.replace("to Chicago", "to New York")),
+    ]
+    got = run(spark, docs, [(1, tom), (2, towns), (3, QUESTION)])
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 3)}
+    assert not got[1, 1].same_values and not got[2, 2].same_values and got[3, 3].same_values
