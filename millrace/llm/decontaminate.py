@@ -9,11 +9,11 @@ alignment of a document with an item, one value of the item must always meet one
 of the document. So a copy with other numbers or names is found, and a document that
 only has the same phrases around unrelated values is not.
 
-What that misses is looked for in two further ways. ``unnamed``: templates of texts in
+What that misses is looked for in three further ways. ``unnamed``: templates of texts in
 lower case without names, for copies in any case and in any place of a sentence.
 ``linked``: a name at the start of a sentence counts if the text has it inside a sentence
 too, and a row of names is one placeholder; the first word of an item is tried as a name as
-well.
+well. Items without any window: their whole sequence of words.
 """
 
 from __future__ import annotations
@@ -173,13 +173,46 @@ def _found(docs: DataFrame, items: DataFrame, make) -> DataFrame:
     return judged(hits, items)
 
 
+def _whole(docs: DataFrame, items: DataFrame) -> DataFrame | None:
+    """Documents that hold all words of an item in a row; None if there are no items."""
+    text = _plain(F.coalesce("text", F.lit("")))
+    theirs = items.select("item_id", F.split(text, " ").alias("item_words"), text.alias("t"))
+    theirs = stored(
+        theirs.filter("t <> ''").select(
+            "item_id", "item_words", F.size("item_words").alias("n"), F.xxhash64("item_words").alias("h")
+        ).distinct(),
+        "whole-items",
+    )
+    sizes = sorted(r.n for r in theirs.select("n").distinct().collect())
+    if not sizes:
+        return None
+    words = docs.filter("doc_id IS NOT NULL").select("doc_id", F.split(text, " ").alias("words"))
+    placed = words.select("doc_id", "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("at"))
+    n = F.explode(F.array(*[F.lit(k) for k in sizes]))
+    parts = placed.select("doc_id", "words", "at", n.alias("n")).filter("at + n <= size(words) + 1")
+    parts = parts.withColumn("part", F.slice("words", F.col("at"), F.col("n")))
+    return (
+        parts.select("doc_id", "n", "part", F.xxhash64("part").alias("h"))
+        .join(theirs, ["n", "h"])
+        .filter("part = item_words")
+        .select(
+            "doc_id",
+            "item_id",
+            F.lit(1).cast("bigint").alias("windows"),
+            F.lit(1).cast("bigint").alias("item_windows"),
+            F.lit(True).alias("same_values"),
+        )
+        .distinct()
+    )
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, item_id, windows, item_windows, same_values)`` for each leaked item.
 
     ``windows``: places of the item that consistent alignments with the document meet;
     ``same_values``: whether all values are the item's own. The figures are those of the
     templates with names; where these don't find the item, of the further way that meets
-    most windows. Null and empty texts match
+    most windows; an item without windows counts as one. Null and empty texts match
     nothing. Rows without doc_id or item_id take no part; rows that share a doc_id
     count as one document. Empty tables give an empty table.
     """
@@ -197,6 +230,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     loose = _found(docs, stored(item_windows(twice, linked), "item-windows"), linked)
     more = more.union(loose.withColumn("item_id", F.col("item_id.id")))
 
+    bare = benchmark.filter("item_id IS NOT NULL").join(lower.select("item_id"), "item_id", "left_anti")
+    whole = _whole(docs, bare)
+    if whole is not None:
+        more = more.union(whole)
     best = F.struct("way", "windows", "item_windows", "same_values")
     return (
         found.union(more.withColumn("way", F.lit(0)))

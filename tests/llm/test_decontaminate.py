@@ -99,3 +99,18 @@ def test_names_at_starts_rows_of_names_and_any_case(spark):
     got = run(spark, docs, [(1, tom), (2, towns), (3, QUESTION)])
     assert set(got) == {(1, 1), (2, 2), (3, 3), (4, 3)}
     assert not got[1, 1].same_values and not got[2, 2].same_values and got[3, 3].same_values
+
+
+def test_short_items_and_items_without_windows(spark):
+    hang = "Who painted the Mona Lisa and in which city does it hang today?"
+    sums = "What is 12 + 5 * 3 - 7 * 2 + 9 equal to ?"
+    texas = "What Is The Capital City Of The State Of Texas?"
+    items = [(1, hang), (2, sums), (3, texas), (4, "Name the largest ocean."), (5, "?!"), (6, None)]
+    docs = [
+        (10, f"as they say {hang} and more"), (11, f"Question: {hang}"), (12, f"It is so. {hang}"),
+        (20, f"so, {sums.lower()} yes"), (21, sums.replace("12", "13")),
+        (30, f"well {texas.lower()}"),
+        (40, "please NAME the largest\n ocean, now"), (41, "name the largest lake"),
+        (50, "?!"), (51, None),
+    ]
+    assert set(run(spark, docs, items)) == {(10, 1), (11, 1), (12, 1), (20, 2), (30, 3), (40, 4)}
