@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, licenses, quality
+from millrace.llm import chat, decontaminate, importance, licenses, quality
 from millrace.llm.common import stored, table, word_count
 from millrace.llm.linededup import repeated_lines
 from millrace.llm.mixing import mixed
@@ -157,3 +157,9 @@ _SAID = "'<|im_end|><|im_start|>assistant ok'"
 def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Figures and digests of every conversation, from the formatted texts."""
     return op10_chat_of(table(spark, folder, "conversations"))
+
+
+@query("op13_importance", importance.oracle())
+def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Five per cent of the documents, drawn towards the words of the benchmark."""
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
