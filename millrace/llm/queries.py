@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, importance, licenses, quality
+from millrace.llm import chat, decontaminate, importance, lexical, licenses, minhash, quality
 from millrace.llm.common import stored, table, word_count
 from millrace.llm.linededup import repeated_lines
 from millrace.llm.mixing import mixed
@@ -159,6 +159,18 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return op10_chat_of(table(spark, folder, "conversations"))
 
 
+@query("op11_minhash", minhash.oracle())
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles and class of every document, and whether it stands for its class."""
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op12_lexical", lexical.oracle())
+def op12_lexical(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return lexical.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query("op13_importance", importance.oracle())
 def op13_importance(spark: SparkSession, folder: str) -> DataFrame:
     """Five per cent of the documents, drawn towards the words of the benchmark."""
