@@ -1,10 +1,10 @@
 """Running values per key that never put a whole key into one task.
 
 A window over one key sorts all of its rows in a single task. Here the rows of a
-key are cut into chunks along the order axis. A window runs inside each chunk, one
-partially aggregated row per chunk carries the totals over, and a second window,
-over those rows only, gives every chunk what came before it. The detail rows are
-shuffled once, by key and chunk.
+key are cut into chunks along the order axis. The detail rows are shuffled once, by key
+and chunk. A window runs inside each chunk; an aggregate of the same shuffled rows gives
+one row per chunk, and a second window, over those rows only, gives every chunk what
+came before it. Both read one exchange, so the input is scanned once.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 from pyspark.sql.window import WindowSpec
 
 # Offsets are dense, so a chunk holds at most this many rows per log partition.
@@ -47,7 +48,8 @@ def running(
     """``df`` with the running columns added.
 
     ``order`` must be unique within a key and ``chunk`` must not decrease along it.
-    Keys must not be null: plain equality lets the join reuse the window's shuffle.
+    Rows without a key or chunk have no place and are left out. All columns of ``df`` are
+    shuffled, whatever is used later, so select what is needed first.
     """
     columns = df.columns
     inputs = {
@@ -56,6 +58,13 @@ def running(
         for name, value in values.items()
     }
     prepared = df.withColumns({"_chunk": chunk, **inputs})
+    for name in (*keys, "_chunk"):
+        prepared = prepared.filter(F.col(name).isNotNull())
+    prepared = prepared.repartition(*keys, "_chunk")
+    # An exchange is used twice only if both uses ask for the same columns. These values
+    # ask for all of them, and the filters on them, always true, keep the optimiser from
+    # taking columns away on one side.
+    everything = _hash_of_all(prepared)
     place = F.struct(*order)
 
     inside = Window.partitionBy(*keys, "_chunk").orderBy(*order)
@@ -72,9 +81,10 @@ def running(
                 for n in spec.lags
             },
         }
-    )
+    ).filter(everything.bitwiseAND(F.lit(0)) == 0)
 
     per_chunk = prepared.groupBy(*keys, "_chunk").agg(
+        F.max(everything).alias("_all"),
         *[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in spec.sums],
         *[
             F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), place)).alias(f"_t_{n}")
@@ -90,13 +100,14 @@ def running(
     carried = per_chunk.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_chunk").alias("_kc"),
+        "_all",
         *[F.sum(f"_t_{n}").over(before).alias(f"_b_{n}") for n in spec.sums],
         *[
             F.last(f"_t_{n}", ignorenulls=True).over(before).alias(f"_b_{n}")
             for n in spec.lasts
         ],
         *[F.lag(f"_t_{n}").over(chunks).alias(f"_b_{n}") for n in spec.lags],
-    )
+    ).filter(F.col("_all").isNotNull())
 
     same = F.col("_chunk") == F.col("_kc")
     for i, k in enumerate(keys):
@@ -115,6 +126,17 @@ def running(
     )
 
 
+def _hash_of_all(df: DataFrame) -> Column:
+    """A hash that reads every column; maps, which have no hash, count by their size."""
+    return F.xxhash64(
+        *[
+            F.size(f.name) if isinstance(f.dataType, MapType) else F.col(f.name)
+            for f in df.schema
+            if isinstance(f.dataType, MapType) or "map<" not in f.dataType.simpleString()
+        ]
+    )
+
+
 def _zero_if_null(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 

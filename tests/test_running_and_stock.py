@@ -127,3 +127,31 @@ def test_two_lines_of_one_sku_ask_for_their_sum(spark):
     assert {r["order_id"]: (r["event_type"], r["missing_sku"]) for r in got} == {
         "o1": ("StockOutOfStock", "S"), "o2": ("StockReserved", None),
     }
+
+
+def scans_of(df):
+    """Scans, and exchanges used again, in the plan that ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("FileScan"), plan.count("ReusedExchange")
+
+
+def test_running_scans_its_input_once(spark, tmp_path):
+    rows = [(k, i, float(i), {"a": "b"}) for k in range(3) for i in range(500)]
+    spark.createDataFrame(rows, "k int, i int, v double, m map<string,string>").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    spec = Running(sums={"s": F.col("v")}, lasts={"l": F.col("v")}, lags={"g": F.col("m")})
+    out = running(df, ["k"], ["i"], offset_chunk(F.col("i"), 50), spec)
+    assert scans_of(out.select("k", "s")) == (1, 1)
+    got = sorted((r.k, r.i, r.s, r.l, r.g) for r in out.collect())
+    assert got == [
+        (k, i, sum(range(i + 1)), float(i), {"a": "b"} if i else None) for k in range(3) for i in range(500)
+    ]
+
+
+@pytest.mark.parametrize("name, most", [("counter_rate", 2), ("order_snapshots", 1), ("bootstrapped_states", 2)])
+def test_registered_queries_scan_their_table_once_or_twice(spark, name, most):
+    import __spark_entry__ as entry_points
+
+    scans, reused = scans_of(entry_points.queries()[name](spark, "/root/testdata/sf0.001"))
+    assert scans <= most and reused
