@@ -102,9 +102,9 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
 def _piece_rows(conv: pa.Array, roles: pa.Array, texts: pa.Array, part: int, seq: int) -> pa.RecordBatch:
     """One row for each run of turns of one conversation."""
     out, turn_ends, text_starts, text_sizes = assemble(roles, texts)
-    ids = conv.to_numpy(zero_copy_only=False).astype(float) if conv.null_count else conv.to_numpy()
+    ids, missing = conv.fill_null(0).to_numpy(), conv.is_null().to_numpy(zero_copy_only=False)
     new = np.ones(len(conv), bool)
-    new[1:] = (ids[1:] != ids[:-1]) & ~((ids[1:] != ids[1:]) & (ids[:-1] != ids[:-1]))
+    new[1:] = (ids[1:] != ids[:-1]) | (missing[1:] != missing[:-1])
     first = np.flatnonzero(new)
     bounds = turn_ends[np.append(first, len(conv))]
     formatted = pa.LargeStringArray.from_buffers(

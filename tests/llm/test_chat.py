@@ -66,3 +66,15 @@ def test_empty_table_and_planted_conversation(spark):
     assert chat.read_back(chat.format_turns(empty)).count() == 0
     only = op10_chat_of(empty.select("conv_id", "turn", "role", "text")).collect()
     assert [(r.conv_id, r.n_turns, r.loss_chars) for r in only] == [(-1, 2, len(ODD[0]))]
+
+
+def test_large_ids_beside_a_missing_one(spark):
+    """Whole numbers that are one as floats, in a block with a null id."""
+    ids = [None, 2**53, 2**53 + 1, 2**63 - 1, 2**63 - 2, -(2**63), 0]
+    turns = [(i, 0, "user", f"says {i}", "x", 1) for i in ids]
+    frame = spark.createDataFrame(turns, SCHEMA).coalesce(1)
+    got = chat.read_back(chat.format_turns(frame)).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == plain(
+        [t[:4] for t in turns]
+    )
+    assert len(got) == len(ids)
