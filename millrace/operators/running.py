@@ -84,7 +84,7 @@ def running(
     ).filter(everything.bitwiseAND(F.lit(0)) == 0)
 
     per_chunk = prepared.groupBy(*keys, "_chunk").agg(
-        F.max(everything).alias("_all"),
+        F.max(everything).alias("_every"),
         *[F.sum(f"_s_{n}").alias(f"_t_{n}") for n in spec.sums],
         *[
             F.max_by(f"_l_{n}", F.when(F.col(f"_l_{n}").isNotNull(), place)).alias(f"_t_{n}")
@@ -100,14 +100,14 @@ def running(
     carried = per_chunk.select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         F.col("_chunk").alias("_kc"),
-        "_all",
+        "_every",
         *[F.sum(f"_t_{n}").over(before).alias(f"_b_{n}") for n in spec.sums],
         *[
             F.last(f"_t_{n}", ignorenulls=True).over(before).alias(f"_b_{n}")
             for n in spec.lasts
         ],
         *[F.lag(f"_t_{n}").over(chunks).alias(f"_b_{n}") for n in spec.lags],
-    ).filter(F.col("_all").isNotNull())
+    ).filter(F.col("_every").isNotNull())
 
     same = F.col("_chunk") == F.col("_kc")
     for i, k in enumerate(keys):

@@ -8,8 +8,13 @@ Arrival is a total order: time (or offset), log partition, offset, order. A rele
 counts if it comes after the request of its order, and the first one only; it then has
 the verdict of the request, so an order's two entries together never add stock.
 
-The work is done in rounds over all SKUs at once. For every undecided order two
-running totals per SKU bound what earlier orders have taken: only those already
+Orders that share no SKU, not even by way of others, do not touch each other: the SKUs
+fall into groups, the connected components of the orders. A group of at most
+``GROUP_ROWS`` entries is settled by one pass over its entries in order; a task passes over
+many groups, one after the other.
+
+Larger groups are settled in rounds over all their SKUs at once. For every undecided order
+two running totals per SKU bound what earlier orders have taken: only those already
 accepted (least), and those plus all undecided ones (most). Enough stock under the
 most means accepted; too little under the least means refused. The earliest
 undecided order has equal bounds, so every round decides something, and in practice
@@ -20,19 +25,26 @@ stays open. The totals run in chunks, so a hot SKU is spread over many tasks.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.components import components
 from millrace.operators.running import OFFSETS_PER_CHUNK, Running, offset_chunk, running
-from millrace.runtime import work_folder
+from millrace.runtime import stored, work_folder
 
 RESERVED = "StockReserved"
 OUT_OF_STOCK = "StockOutOfStock"
+#: Entries of a group that one task settles in order.
+GROUP_ROWS = 100_000
 # Width of a chunk where places are times in microseconds.
 MICROS_PER_CHUNK = 6 * 3600 * 1_000_000
 
 _PLACE = ["at", "partition", "offset"]
 _ORDER = [*_PLACE, "order_id", "kind"]
+REQUEST, RELEASE, RETURNED = "request", "release", "returned"
 _BEFORE_ALL = -(1 << 62)
 
 
@@ -74,40 +86,135 @@ def reserve(
     stock: DataFrame,
     releases: DataFrame | None = None,
     at_per_chunk: int = OFFSETS_PER_CHUNK,
+    returned: DataFrame | None = None,
 ) -> DataFrame:
     """``order_id, offset, event_type, missing_sku`` for every order.
 
     ``demands``: order_id, its place, line_no, sku, quantity > 0. ``stock``: sku,
     quantity. ``releases``: order_id and the places at which a cancelled order gives
-    back what it had reserved. A place is ``at, partition, offset``, or ``offset`` alone.
+    back what it had reserved. ``returned``: order_id, place, sku and quantity that come
+    back from orders decided before. A place is ``at, partition, offset``, or ``offset`` alone.
     """
-    spark = demands.sparkSession
-    folder = work_folder(spark, "stock")
-
     # Two lines of one SKU ask for their sum.
     lines = _placed(demands).groupBy("order_id", *_PLACE, "sku").agg(
         F.sum("quantity").cast("bigint").alias("delta"), F.min("line_no").alias("line_no")
     )
-    zero = F.lit(0).cast("bigint")
-    entries = lines.select("sku", *_PLACE, "order_id", "line_no", "delta", F.lit("request").alias("kind"))
+    columns = ["sku", *_PLACE, "order_id", "line_no", "delta", "kind"]
+    entries = lines.withColumn("kind", F.lit(REQUEST)).select(columns)
     if releases is not None:
-        entries = entries.unionByName(_given_back(lines, _placed(releases)))
+        entries = entries.unionByName(_given_back(lines, _placed(releases)).select(columns))
+    if returned is not None:
+        back = _placed(returned).withColumns(
+            {"delta": (-F.col("quantity")).cast("bigint"), "kind": F.lit(RETURNED), "line_no": F.lit(None).cast("int")}
+        )
+        entries = entries.unionByName(back.select(columns))
+    entries = stored(entries, "stock-entries")
+
+    placed = stored(_grouped(entries), "stock-groups")
+    small = F.col("n") <= GROUP_ROWS
+    quantities = stock.select("sku", F.col("quantity").cast("bigint").alias("quantity"))
+    outcomes = _in_order(placed.filter(small).join(quantities, "sku", "left"), demands.schema)
+    large = placed.filter(~small).drop("g", "n")
+    if large.isEmpty():
+        return outcomes
+    theirs = quantities.join(large.select("sku").distinct(), "sku", "left_semi")
+    return outcomes.unionByName(_in_rounds(large, theirs, at_per_chunk))
+
+
+def _grouped(entries: DataFrame) -> DataFrame:
+    """Entries with ``g``, the group of their SKU, and ``n``, the entries of that group."""
+    asked = entries.filter(F.col("kind") == REQUEST)
+    first = asked.groupBy("order_id").agg(F.min("sku").alias("a"), F.max("sku").alias("_last"))
+    links = (
+        asked.join(first.filter("a <> _last"), "order_id")
+        .filter("sku <> a")
+        .select("a", F.col("sku").alias("b"))
+        .distinct()
+    )
+    per_sku = entries.groupBy("sku").agg(F.count("*").alias("_n"))
+    groups = components(links).withColumnRenamed("node", "sku")
+    named = per_sku.join(groups, "sku", "left").withColumn("g", F.coalesce("component", "sku"))
+    sizes = named.groupBy("g").agg(F.sum("_n").alias("n"))
+    return entries.join(named.select("sku", "g").join(sizes, "g"), "sku")
+
+
+def _in_order(entries: DataFrame, types) -> DataFrame:
+    """Outcomes of small groups, each by one pass over its entries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, now, lines, left, held, done = object(), None, [], {}, set(), []
+
+        def settle() -> None:
+            place, order, kind = now
+            if kind == RETURNED or (kind == RELEASE and order in held):
+                held.discard(order)
+                for sku, delta, _, _ in lines:
+                    left[sku] -= delta
+            if kind == REQUEST:
+                lacking = [(line, sku) for sku, delta, line, _ in lines if left[sku] < delta]
+                if lacking:
+                    done.append((order, place[2], OUT_OF_STOCK, min(lacking)[1]))
+                    return
+                held.add(order)
+                for sku, delta, _, _ in lines:
+                    left[sku] -= delta
+                done.append((order, place[2], RESERVED, None))
+
+        def rows() -> pa.RecordBatch:
+            names = ["order_id", "offset", "event_type", "missing_sku"]
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*done), kinds)], names)
+
+        kinds: list[pa.DataType] = []
+        for batch in batches:
+            at = dict(zip(batch.schema.names, batch.columns))
+            kinds = [at["order_id"].type, pa.int64(), pa.string(), at["sku"].type]
+            columns = [at[c].to_pylist() for c in ("g", *_ORDER, "sku", "delta", "line_no", "quantity")]
+            for g, *place, order, kind, sku, delta, line, quantity in zip(*columns):
+                if (tuple(place), order, kind) != now or g != group:
+                    if lines:
+                        settle()
+                    now, lines = (tuple(place), order, kind), []
+                    if g != group:
+                        group, left, held = g, {}, set()
+                lines.append((sku, delta, line, quantity))
+                left.setdefault(sku, quantity or 0)
+            if len(done) > 1 << 14:
+                yield rows()
+                done = []
+        if lines:
+            settle()
+        if done:
+            yield rows()
+
+    kind = {f.name: f.dataType.simpleString() for f in types}
+    ordered = entries.repartition("g").sortWithinPartitions("g", *_ORDER, "line_no")
+    return ordered.mapInArrow(
+        run, f"order_id {kind['order_id']}, offset bigint, event_type string, missing_sku {kind['sku']}"
+    )
+
+
+def _in_rounds(entries: DataFrame, stock: DataFrame, at_per_chunk: int) -> DataFrame:
+    """Outcomes of large groups, by bounds on what earlier orders took."""
+    spark = entries.sparkSession
+    folder = work_folder(spark, "stock")
+    zero = F.lit(0).cast("bigint")
     opening = stock.select(
         "sku",
         *[F.lit(_BEFORE_ALL).cast("bigint").alias(c) for c in _PLACE],
-        F.lit(None).cast(demands.schema["order_id"].dataType).alias("order_id"),
+        F.lit(None).cast(entries.schema["order_id"].dataType).alias("order_id"),
         F.lit(None).cast("int").alias("line_no"),
-        (-F.col("quantity")).cast("bigint").alias("delta"),
+        (-F.col("quantity")).alias("delta"),
         F.lit("stock").alias("kind"),
     )
-    entries = entries.withColumns({"least": zero, "status": F.lit("open")}).unionByName(
+    known = F.when(F.col("kind") == RETURNED, "fixed").otherwise("open")
+    entries = entries.withColumns({"least": zero, "status": known}).unionByName(
         opening.withColumns({"least": zero, "status": F.lit("fixed")})
     )
 
     # Every round and the outcomes read the entries again, so they are stored once.
     entries.write.parquet(f"{folder}/entries")
     entries = spark.read.schema(entries.schema).parquet(f"{folder}/entries")
-    lines = entries.filter(F.col("kind") == "request").drop("kind", "status", "least")
+    lines = entries.filter(F.col("kind") == REQUEST).drop("kind", "status", "least")
 
     now, accepted, round_no = entries, entries.filter(F.col("status") == "fixed"), 0
     while True:
@@ -120,7 +227,7 @@ def reserve(
         now = after.filter(F.col("status").isin("open", "fixed"))
         round_no += 1
 
-    return _outcomes(lines, accepted, at_per_chunk)
+    return _outcomes(lines, stored(accepted, "stock-accepted"), at_per_chunk)
 
 
 def _given_back(lines: DataFrame, releases: DataFrame) -> DataFrame:
@@ -135,7 +242,7 @@ def _given_back(lines: DataFrame, releases: DataFrame) -> DataFrame:
     )
     return lines.drop(*_PLACE).join(first, "order_id").select(
         "sku", *_PLACE, "order_id", "line_no",
-        (-F.col("delta")).alias("delta"), F.lit("release").alias("kind"),
+        (-F.col("delta")).alias("delta"), F.lit(RELEASE).alias("kind"),
     )
 
 
@@ -171,7 +278,7 @@ def _with_bounds(entries: DataFrame, at_per_chunk: int) -> DataFrame:
 def _settled(bounded: DataFrame) -> DataFrame:
     """Open entries with the status they have after this round."""
     verdicts = (
-        bounded.filter(F.col("kind") == "request")
+        bounded.filter(F.col("kind") == REQUEST)
         .groupBy("order_id")
         .agg(
             F.bool_and(F.col("most") + F.col("delta") <= 0).alias("_sure"),
@@ -196,10 +303,10 @@ def _outcomes(lines: DataFrame, fixed: DataFrame, at_per_chunk: int) -> DataFram
     The refused lines join the accepted entries with a zero quantity, so one running
     total tells what was left when each of them was looked at.
     """
-    accepted = fixed.filter(F.col("kind") == "request").select("order_id").distinct()
+    accepted = fixed.filter(F.col("kind") == REQUEST).select("order_id").distinct()
     refused = lines.join(accepted, "order_id", "left_anti")
     asked = refused.select(
-        "sku", *_PLACE, "order_id", "line_no", F.lit("request").alias("kind"),
+        "sku", *_PLACE, "order_id", "line_no", F.lit(REQUEST).alias("kind"),
         F.col("delta").alias("_asked"), F.lit(0).cast("bigint").alias("delta"),
     )
     taken = fixed.select(
@@ -227,7 +334,7 @@ def _outcomes(lines: DataFrame, fixed: DataFrame, at_per_chunk: int) -> DataFram
         .withColumn("event_type", F.lit(OUT_OF_STOCK))
     )
     reserved = (
-        fixed.filter(F.col("kind") == "request")
+        fixed.filter(F.col("kind") == REQUEST)
         .groupBy("order_id", "offset")
         .agg(F.lit(RESERVED).alias("event_type"))
     )

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.running import Running, numbered, offset_chunk, running
+from millrace.operators import stock as stock_module
+from millrace.operators.components import components
 from millrace.operators.stock import demands_of_paid_orders, reserve
 
 
@@ -155,3 +157,18 @@ def test_registered_queries_scan_their_table_once_or_twice(spark, name, most):
 
     scans, reused = scans_of(entry_points.queries()[name](spark, "/root/testdata/sf0.001"))
     assert scans <= most and reused
+
+
+@pytest.mark.parametrize("rows", [0, 40])
+def test_groups_in_order_and_in_rounds_agree(spark, monkeypatch, rows):
+    """No, and some, groups small enough for one pass."""
+    monkeypatch.setattr(stock_module, "GROUP_ROWS", rows)
+    test_reserve_equals_brute_force(spark, 5)
+    test_two_lines_of_one_sku_ask_for_their_sum(spark)
+
+
+def test_components_are_named_by_their_smallest_node(spark):
+    links = [(i, i + 1) for i in range(30)] + [(50, 40), (40, 60), (7, 7)]
+    got = components(spark.createDataFrame(links, "a int, b int")).collect()
+    assert {r.node: r.component for r in got} == {i: 0 for i in range(31)} | {i: 40 for i in (40, 50, 60)}
+    assert components(spark.createDataFrame([], "a int, b int")).count() == 0
