@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators.counts import orders_by_day_and_status
@@ -35,6 +36,9 @@ DEFAULT_CURRENCY = "EUR"
 # End of fixed values.
 
 PLACE = ("partition", "offset")
+#: Offsets before the end of a log partition beyond which no event waits for a snapshot.
+TAIL_OFFSETS = 1_000_000
+MARKS = "run INT, partition INT, low BIGINT"
 ATTRIBUTES = (
     "status",
     "customer_id",
@@ -97,10 +101,12 @@ def _with_defaults(states: DataFrame) -> DataFrame:
     )
 
 
-def fold_contributions(rows: DataFrame) -> DataFrame:
+def fold_contributions(rows: DataFrame, with_place: bool = False) -> DataFrame:
     place = F.struct(*PLACE)
+    places = [F.max(place)[c].alias(c) for c in PLACE] if with_place else []
     return _with_defaults(
         rows.groupBy("order_id").agg(
+            *places,
             F.max_by("version", place).alias("version"),
             F.max_by("occurred_at", place).alias("occurred_at"),
             *[
@@ -131,18 +137,33 @@ def replay_order(log: DataFrame, order_id: object) -> DataFrame:
 
 
 def snapshots(
-    events: DataFrame, every: int = SNAPSHOT_EVERY, offsets_per_chunk: int = OFFSETS_PER_CHUNK
+    events: DataFrame,
+    every: int = SNAPSHOT_EVERY,
+    offsets_per_chunk: int = OFFSETS_PER_CHUNK,
+    since: DataFrame | None = None,
 ) -> DataFrame:
-    """State of an order after each ``every``-th of its events."""
-    rows = contributions(events)
+    """State of an order after each ``every``-th of its events.
+
+    ``since``: the last snapshot of orders whose earlier events are no longer read; its
+    version is the number of events it stands for.
+    """
+    one = F.lit(1).cast("bigint")
+    rows = contributions(events).withColumn("_events", one)
+    if since is not None:
+        seen = since.withColumnRenamed("snapshot_at", "occurred_at")
+        rows = rows.withColumn("_old", F.lit(False)).unionByName(
+            seen.withColumns({"_events": F.col("version").cast("bigint"), "_old": F.lit(True)})
+        )
+    else:
+        rows = rows.withColumn("_old", F.lit(False))
     spec = Running(
-        sums={"_n": F.lit(1).cast("bigint")},
+        sums={"_n": F.col("_events")},
         lasts={f"_{a}": F.col(a) for a in ATTRIBUTES},
     )
     chunk = F.struct("partition", offset_chunk(F.col("offset"), offsets_per_chunk))
     folded = running(rows, ["order_id"], list(PLACE), chunk, spec)
     return _with_defaults(
-        folded.filter(F.col("_n") % every == 0).select(
+        folded.filter((F.col("_n") % every == 0) & ~F.col("_old")).select(
             "order_id",
             *PLACE,
             "version",
@@ -164,6 +185,94 @@ def bootstrap(snapshot_log: DataFrame, events: DataFrame) -> DataFrame:
     return fold_contributions(contributions(events).unionByName(as_rows))
 
 
+def _open_events(events: DataFrame, last: DataFrame) -> DataFrame:
+    """Events that no snapshot of their order stands for."""
+    covered = last.select("order_id", F.struct(*PLACE).alias("_covered"))
+    place = F.struct(*PLACE)
+    rows = events.join(covered, "order_id", "left")
+    return rows.filter(F.col("_covered").isNull() | (place > F.col("_covered"))).drop("_covered")
+
+
+def write_snapshots(
+    log: DataFrame, folder: str, every: int = SNAPSHOT_EVERY, keep: int = TAIL_OFFSETS
+) -> dict[int, int]:
+    """Stores snapshots and, for each log partition, the offset from which the log is
+    still needed; returns these marks.
+
+    A run reads the tail that the run before it left over, and its snapshots. Orders whose
+    first event without a snapshot lies more than ``keep`` offsets before the end of the
+    log get a snapshot now, so that a quiet order does not hold the marks back. A run
+    counts once its marks are stored; one that failed is replaced.
+    """
+    spark = log.sparkSession
+    runs, marks = stored_marks(spark, folder)
+    tail = tail_of(log, marks)
+    ends = {**marks, **end_offsets(tail)}
+    home = f"{folder}/run={runs + 1}"
+    earlier = stored_snapshots(spark, folder, runs)
+    last = latest_per_key(earlier, ["order_id"], list(PLACE)) if runs else None
+    events = tail if last is None else _open_events(tail, last)
+    # The last snapshot of an order that has further events is where its counting goes on.
+    since = None if last is None else last.join(events.select("order_id").distinct(), "order_id", "left_semi")
+    snapshots(events, every, since=since).write.mode("overwrite").parquet(f"{home}/regular")
+    regular = spark.read.parquet(f"{home}/regular")
+
+    now = regular if last is None else regular.unionByName(last)
+    left_over = _open_events(events, latest_per_key(now, ["order_id"], list(PLACE)))
+    behind = F.lit(False)
+    for partition, end in sorted(ends.items()):
+        behind = behind | ((F.col("partition") == partition) & (F.col("offset") < end - keep))
+    quiet = left_over.groupBy("order_id").agg(F.bool_or(behind).alias("_behind")).filter("_behind").drop("_behind")
+    known = now.withColumnRenamed("snapshot_at", "occurred_at").join(quiet, "order_id", "left_semi")
+    theirs = contributions(left_over).join(quiet, "order_id", "left_semi").unionByName(known)
+    closing = fold_contributions(theirs, with_place=True).withColumnRenamed("occurred_at", "snapshot_at")
+    closing.select(regular.columns).write.mode("overwrite").parquet(f"{home}/closing")
+
+    needed = left_over.join(quiet, "order_id", "left_anti").groupBy("partition").agg(F.min("offset").alias("low"))
+    found = {**ends, **{r["partition"]: r["low"] for r in needed.collect()}}
+    rows = [(runs + 1, p, low) for p, low in sorted(found.items())]
+    stored_now = spark.createDataFrame(rows, MARKS).coalesce(1)
+    stored_now.write.mode("overwrite").parquet(f"{home}/marks")
+    return found
+
+
+def stored_marks(spark: SparkSession, folder: str) -> tuple[int, dict[int, int]]:
+    """Number of the last complete run and its marks by log partition."""
+    try:
+        rows = spark.read.schema(MARKS).parquet(f"{folder}/run=*/marks").collect()
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = []
+    run = max((r["run"] for r in rows), default=0)
+    return run, {r["partition"]: r["low"] for r in rows if r["run"] == run}
+
+
+def stored_snapshots(spark: SparkSession, folder: str, runs: int) -> DataFrame | None:
+    """Snapshots of all complete runs."""
+    paths = [f"{folder}/run={r}/{kind}" for r in range(1, runs + 1) for kind in ("regular", "closing")]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def tail_of(log: DataFrame, marks: dict[int, int]) -> DataFrame:
+    """Events from the marks on, and all of log partitions without one. The marks are
+    literals, so the scan skips what lies before them."""
+    if not marks:
+        return log
+    wanted = ~F.col("partition").isin(*marks)
+    for partition, low in sorted(marks.items()):
+        wanted = wanted | ((F.col("partition") == partition) & (F.col("offset") >= low))
+    return log.filter(wanted)
+
+
+def bootstrap_stored(folder: str, log: DataFrame) -> DataFrame:
+    """States from the stored snapshots and the tail of the log that they do not cover."""
+    runs, marks = stored_marks(log.sparkSession, folder)
+    if not runs:
+        return fold(log)
+    return bootstrap(stored_snapshots(log.sparkSession, folder, runs), tail_of(log, marks))
+
+
 def saga_paths(events: DataFrame, path: tuple[str, ...] = HAPPY_PATH) -> DataFrame:
     """Per order: the first place of each expected event and whether they are in order."""
     place = F.struct(*PLACE)

@@ -121,6 +121,23 @@ def reserve(
     return outcomes.unionByName(_in_rounds(large, theirs, at_per_chunk))
 
 
+def movements(
+    demands: DataFrame, releases: DataFrame, decided: DataFrame, returned: DataFrame | None = None
+) -> DataFrame:
+    """``order_id, sku, quantity``: what accepted orders took, and below zero what came back."""
+    accepted = decided.filter(F.col("event_type") == RESERVED).select("order_id").distinct()
+    lines = _placed(demands).groupBy("order_id", *_PLACE, "sku").agg(
+        F.sum("quantity").cast("bigint").alias("delta"), F.min("line_no").alias("line_no")
+    )
+    moved = lines.select("order_id", "sku", "delta").unionByName(
+        _given_back(lines, _placed(releases)).select("order_id", "sku", "delta")
+    )
+    out = moved.join(accepted, "order_id", "left_semi").withColumnRenamed("delta", "quantity")
+    if returned is not None:
+        out = out.unionByName(returned.select("order_id", "sku", (-F.col("quantity")).alias("quantity")))
+    return out
+
+
 def _grouped(entries: DataFrame) -> DataFrame:
     """Entries with ``g``, the group of their SKU, and ``n``, the entries of that group."""
     asked = entries.filter(F.col("kind") == REQUEST)

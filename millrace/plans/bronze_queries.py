@@ -327,17 +327,29 @@ def bounded_read(spark: SparkSession, folder: str) -> DataFrame:
        '{"event_type":"' || event_type || '","payload":' || to_json(props) || '}' AS value FROM events)""",
 )
 def outbox_increments(spark: SparkSession, folder: str) -> DataFrame:
-    """Two polls of an outbox: up to a mark, then what came after it."""
-    outbox = table(spark, folder, "events").withColumnRenamed("props", "payload")
-    mark = outbox.count() // 2
-    topic = F.lit("orders.events")
-    first = bounded.outbox_messages(outbox.filter(F.col("event_id") <= mark), "event_id", "user_id", topic)
-    second = bounded.outbox_messages(bounded.read_after(outbox, "event_id", mark), "event_id", "user_id", topic)
-    return (
-        first.withColumn("poll", F.lit(1))
-        .unionByName(second.withColumn("poll", F.lit(2)))
-        .select("poll", "outbox_id", "key", "value")
-    )
+    """Two polls of an outbox with a stored mark. Half of the rows are there at first; the
+    first poll crashes between publishing and storing its mark and is repeated; the rest
+    arrives before the second poll."""
+    work = work_folder(spark, "outbox")
+    events = table(spark, folder, "events").withColumnRenamed("props", "payload")
+    half = events.count() // 2
+    crashed = []
+
+    def publish(rows: DataFrame, poll: int) -> None:
+        messages = bounded.outbox_messages(rows, "event_id", "user_id", F.lit("orders.events"))
+        messages.write.mode("overwrite").parquet(f"{work}/published/poll={poll}")
+        if not crashed:
+            crashed.append(poll)
+            raise ConnectionError("lost after publishing")
+
+    for arrived in (F.col("event_id") <= half, F.col("event_id") > half):
+        events.filter(arrived).write.mode("append").parquet(f"{work}/outbox")
+        outbox = spark.read.schema(events.schema).parquet(f"{work}/outbox")
+        try:
+            bounded.poll_outbox(outbox, "event_id", f"{work}/marks", publish)
+        except ConnectionError:
+            bounded.poll_outbox(outbox, "event_id", f"{work}/marks", publish)
+    return spark.read.parquet(f"{work}/published").select("poll", "outbox_id", "key", "value")
 
 
 @query("rows_total", "SELECT count(*) AS total_rows FROM events")

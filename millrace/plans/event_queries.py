@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.operators import eventlog, saga
@@ -14,8 +14,9 @@ from millrace.plans.cdc_queries import duplicated
 from millrace.plans.ingest_queries import place_order_messages
 from millrace.plans.inputs import table, table_stream
 from millrace.plans.registry import drained, plain_times, query
-from millrace.runtime import ROCKSDB_PROVIDER, work_folder
+from millrace.runtime import ROCKSDB_PROVIDER, stored, work_folder
 from millrace.sources.envelope import file_stream
+from millrace.streaming import stock as stock_ledger
 from millrace.streaming.snapshots import snapshot_stream
 
 _TYPE = """CASE event_type WHEN 'signup' THEN 'OrderCreated' WHEN 'purchase' THEN 'PaymentCompleted'
@@ -231,6 +232,94 @@ def stock_held_by_part(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Orders of several lines in independent shops of five SKUs each; every seventh order gives
+# its stock back once the second order after it in its shop has asked. One step of the
+# recursion is one entry of every shop.
+_SHOPS, _SKUS = 500, 5
+_SHOP_STOCK = f"""WITH RECURSIVE line AS (
+    SELECT l_orderkey AS o, CAST(l_partkey % {_SKUS} AS INT) AS s, CAST(sum(l_quantity) AS BIGINT) AS q, min(l_linenumber) AS n
+    FROM lineitem GROUP BY ALL),
+  ord AS (SELECT o, o % {_SHOPS} AS g, row_number() OVER (PARTITION BY o % {_SHOPS} ORDER BY o) AS j,
+    list(s ORDER BY n, s) AS skus, map(list(s), list(q)) AS m FROM line GROUP BY o),
+  e AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY pl, back) AS k FROM (
+    SELECT g, j, o, skus, list_transform(range({_SKUS}), lambda s: coalesce(m[s], 0)) AS need, j AS pl, false AS back FROM ord
+    UNION ALL SELECT g, j, o, skus, list_transform(range({_SKUS}), lambda s: coalesce(m[s], 0)), j + 2, true FROM ord WHERE o % 7 = 0)),
+  f AS (SELECT g, CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS o, false AS back, CAST([150, 150, 150, 150, 150] AS BIGINT[]) AS stock,
+      CAST([] AS BOOLEAN[]) AS taken, CAST(NULL AS INT) AS missing FROM ord GROUP BY g
+    UNION ALL SELECT g, k, o, back,
+      CASE WHEN back AND taken[j] THEN list_transform(need, lambda x, i: x + stock[i])
+        WHEN NOT back AND lacking IS NULL THEN list_transform(need, lambda x, i: stock[i] - x) ELSE stock END,
+      CASE WHEN back THEN taken ELSE list_append(taken, lacking IS NULL) END, CASE WHEN NOT back THEN lacking END
+    FROM (SELECT f.g, e.k, e.o, e.back, e.j, e.need, f.stock, f.taken,
+        list_filter(e.skus, lambda s: e.need[s + 1] > f.stock[s + 1])[1] AS lacking
+      FROM f JOIN e ON e.g = f.g AND e.k = f.k + 1))
+  SELECT o AS order_id, CASE WHEN missing IS NULL THEN 'StockReserved' ELSE 'StockOutOfStock' END AS event_type,
+    CASE WHEN missing IS NOT NULL THEN g || '-' || missing END AS missing_sku FROM f WHERE k > 0 AND NOT back"""
+
+
+def _shop_entries(lineitem: DataFrame) -> DataFrame:
+    """Requests and releases of the shops' orders, placed by order and, for releases, just
+    behind the second order after their own in the shop."""
+    order = F.col("l_orderkey")
+    sku = F.concat_ws("-", order % _SHOPS, F.col("l_partkey") % _SKUS)
+    lines = lineitem.groupBy(order.alias("order_id"), sku.alias("sku")).agg(
+        F.sum("l_quantity").cast("int").alias("quantity"), F.min("l_linenumber").alias("n")
+    )
+    items = F.transform(
+        F.sort_array(F.collect_list(F.struct("n", "sku", "quantity"))),
+        lambda x: F.struct(x["sku"].alias("sku"), x["quantity"].alias("quantity")),
+    )
+    shop = Window.partitionBy("shop").orderBy("order_id")
+    orders = lines.groupBy("order_id").agg(items.alias("items")).withColumn("shop", F.col("order_id") % _SHOPS)
+    # A shop is a fixed fraction of the orders here; its rank is the place of its orders.
+    placed = orders.withColumns({"at": F.row_number().over(shop).cast("bigint"), "partition": F.lit(0)})
+    requests = placed.select(
+        "order_id", F.lit("request").alias("kind"), (F.col("at") * 2).alias("at"), "partition",
+        F.col("order_id").alias("offset"), "items",
+    )
+    releases = placed.filter(F.col("order_id") % 7 == 0).select(
+        "order_id", F.lit("release").alias("kind"), (F.col("at") * 2 + 5).alias("at"), "partition",
+        F.col("order_id").alias("offset"), F.lit(None).cast(requests.schema["items"].dataType).alias("items"),
+    )
+    return requests.unionByName(releases)
+
+
+def _shop_stock(entries: DataFrame) -> DataFrame:
+    """150 of each of the five SKUs of every shop that has an order."""
+    shops = entries.select((F.col("order_id") % _SHOPS).alias("shop")).distinct()
+    numbers = F.explode(F.sequence(F.lit(0), F.lit(_SKUS - 1)))
+    return shops.select("shop", numbers.alias("n")).select(
+        F.concat_ws("-", "shop", "n").alias("sku"), F.lit(150).alias("quantity")
+    )
+
+
+@query("stock_of_shops", _SHOP_STOCK)
+def stock_of_shops(spark: SparkSession, folder: str) -> DataFrame:
+    """Every verdict on orders of several lines, with releases, in one run."""
+    entries = stored(_shop_entries(table(spark, folder, "lineitem")), "shop-entries")
+    lines = entries.filter("kind = 'request'").select(
+        "order_id", "at", "partition", "offset", F.posexplode("items").alias("line_no", "item")
+    )
+    demands = lines.select("order_id", "at", "partition", "offset", "line_no", "item.*")
+    releases = entries.filter("kind = 'release'").select("order_id", "at", "partition", "offset")
+    return reserve(demands, _shop_stock(entries), releases).drop("offset")
+
+
+@query("stock_of_shops_streamed", _SHOP_STOCK)
+def stock_of_shops_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same in three micro-batches against standing balances."""
+    work = work_folder(spark, "shops")
+    entries = stored(_shop_entries(table(spark, folder, "lineitem")), "shop-entries")
+    stock_ledger.open_ledger(f"{work}/ledger", _shop_stock(entries))
+    last = entries.agg(F.max("at")).first()[0]
+    batch = F.least(F.lit(2), F.floor(F.col("at") * 3 / F.lit(last + 1)))
+    for stream in inputs.arriving(entries, batch, 3, f"{work}/entries"):
+        stock_ledger.reserve_stream(
+            stream, f"{work}/ledger", f"{work}/checkpoint", every=None, compact_every=2
+        ).awaitTermination()
+    return stock_ledger.decisions(spark, f"{work}/ledger").drop("offset")
+
+
 @query(
     "compensations",
     f"""WITH f AS (SELECT user_id AS order_id,
@@ -313,6 +402,25 @@ def bootstrapped_states(spark: SparkSession, folder: str) -> DataFrame:
     return plain_times(eventlog.bootstrap(eventlog.snapshots(log), log))
 
 
+@query("tail_bootstrapped_states", _final())
+def tail_bootstrapped_states(spark: SparkSession, folder: str) -> DataFrame:
+    """States from stored snapshots and the tail of the log: snapshots are taken when the
+    log has a third and two thirds of its events, and everything before the marks is gone
+    from the log afterwards."""
+    work = work_folder(spark, "tail")
+    log = _log(spark, folder)
+    log.write.parquet(f"{work}/all")
+    everything = spark.read.schema(log.schema).parquet(f"{work}/all")
+    end = everything.agg(F.max("offset")).first()[0]
+    left = everything
+    for third in (1, 2):
+        arrived = left.filter(F.col("offset") <= end * third // 3)
+        marks = eventlog.write_snapshots(arrived, f"{work}/snapshots", keep=end // 10)
+        eventlog.tail_of(left, marks).write.parquet(f"{work}/after={third}")
+        left = spark.read.schema(log.schema).parquet(f"{work}/after={third}")
+    return plain_times(eventlog.bootstrap_stored(f"{work}/snapshots", left))
+
+
 @query(
     "saga_paths",
     f"""WITH f AS (SELECT user_id AS order_id,

@@ -3,6 +3,8 @@ lines, messages and metric samples that the registered queries run on."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,17 @@ def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return file_stream(spark, f"{folder}/{name}.parquet", schema)
 
 
+def arriving(df: DataFrame, batch: Column, n: int, path: str) -> Iterator[DataFrame]:
+    """Adds the rows of batch 0, 1, ... to a folder, one batch at each step, and gives the
+    stream over the folder every time. A query that runs to the end of what is there at
+    each step so sees the batches one after the other."""
+    numbered_rows = df.withColumn("_batch", batch)
+    for i in range(n):
+        part = numbered_rows.filter(F.col("_batch") == i).drop("_batch")
+        part.write.mode("append").parquet(path)
+        yield file_stream(df.sparkSession, path, df.schema)
+
+
 def _cased(key: str, cases: dict[str, str], default: str | None = None) -> Column:
     chosen = None
     for name, value in cases.items():

@@ -11,6 +11,8 @@ from millrace.streaming.windows import WATERMARK
 
 # A payment counts up to 15 minutes after its order.
 PAYMENT_WINDOW_SECONDS = 15 * 60
+#: How long after its creation the first payment of an order still reserves its items.
+RESERVE_WITHIN_SECONDS = 24 * 3600
 ENRICHED_COLUMNS = [
     "order_id", "customer_id", "email", "country", "status", "total_amount", "kafka_ts",
 ]
@@ -59,3 +61,26 @@ def orders_with_payments(
     return joined.withColumn(
         "delay_seconds", delay_seconds(F.col("payment_ts"), F.col("order_ts"))
     )
+
+
+def paid_items(
+    created: DataFrame,
+    payments: DataFrame,
+    within_seconds: int = RESERVE_WITHIN_SECONDS,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """``order_id, paid_at, partition, offset, items``: what each paid order reserves.
+
+    ``created``: order_id, items, created_at; ``payments``: order_id, paid_at, partition,
+    offset. Either may arrive first; a stream keeps it until the watermark has passed the
+    interval, so orders that nobody pays leave the state. Of repeated payments that are
+    less than the watermark delay apart one counts.
+    """
+    lefts = created.select("order_id", "items", "created_at")
+    rights = payments.select("order_id", "paid_at", "partition", "offset")
+    if created.isStreaming:
+        lefts = lefts.withWatermark("created_at", watermark)
+        rights = rights.withWatermark("paid_at", watermark)
+        rights = rights.dropDuplicatesWithinWatermark(["order_id"])
+    joined = interval_join(lefts, rights, "order_id", "created_at", "paid_at", within_seconds)
+    return joined.select("order_id", "paid_at", "partition", "offset", "items")
