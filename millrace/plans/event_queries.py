@@ -17,6 +17,10 @@ from millrace.plans.registry import drained, plain_times, query
 from millrace.runtime import ROCKSDB_PROVIDER, stored, work_folder
 from millrace.sources.envelope import file_stream
 from millrace.streaming import stock as stock_ledger
+from millrace.streaming.dashboard import dashboard_stream, read_dashboard
+from millrace.streaming.joins import paid_items
+from millrace.streaming.orchestrator import saga_commands
+from millrace.streaming.sinks import append_table
 from millrace.streaming.snapshots import snapshot_stream
 
 _TYPE = """CASE event_type WHEN 'signup' THEN 'OrderCreated' WHEN 'purchase' THEN 'PaymentCompleted'
@@ -460,6 +464,116 @@ def orders_per_day_and_status(spark: SparkSession, folder: str) -> DataFrame:
     return eventlog.daily_dashboard(_log(spark, folder))
 
 
+@query(
+    "orders_per_day_and_status_streamed",
+    f"SELECT CAST(occurred_at AS DATE) AS day, status, count(*) AS n_orders FROM ({_final()}) GROUP BY 1, 2",
+)
+def orders_per_day_and_status_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same dashboard from three micro-batches, by taking orders out of the cells they leave."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    work = work_folder(spark, "dashboard")
+    log = stored(_log(spark, folder), "dashboard-log")
+    third = F.floor((F.col("offset") - 1) * 3 / log.count())
+    for stream in inputs.arriving(log, F.greatest(F.lit(0), F.least(F.lit(2), third)), 3, f"{work}/log"):
+        dashboard_stream(stream, f"{work}/table", f"{work}/checkpoint", every=None).awaitTermination()
+    return read_dashboard(spark, f"{work}/table")
+
+
+# Sagas by order: 0 runs through, 1 is refused, 2 runs out of stock, 3 to 5 fall silent after
+# the creation, the payment and the reservation. Steps are an hour apart.
+_STEPS = ("OrderCreated", "PaymentCompleted", "StockReserved", "OrderShipped")
+_SAGA_COMMANDS = """WITH k AS (SELECT o_orderkey AS order_id, o_orderkey % 6 AS kind,
+    TIMESTAMP '2024-01-01' + to_seconds(o_orderkey % 600) AS t FROM orders),
+  c AS (SELECT unnest([
+    {'kind': 0, 'step': 0, 'command': 'ChargePayment', 'reason': NULL}, {'kind': 0, 'step': 1, 'command': 'ReserveStock', 'reason': NULL},
+    {'kind': 0, 'step': 2, 'command': 'ShipOrder', 'reason': NULL}, {'kind': 1, 'step': 0, 'command': 'ChargePayment', 'reason': NULL},
+    {'kind': 1, 'step': 1, 'command': 'CancelOrder', 'reason': 'payment_failed'},
+    {'kind': 2, 'step': 0, 'command': 'ChargePayment', 'reason': NULL}, {'kind': 2, 'step': 1, 'command': 'ReserveStock', 'reason': NULL},
+    {'kind': 2, 'step': 2, 'command': 'CancelOrder', 'reason': 'out_of_stock'},
+    {'kind': 2, 'step': 2, 'command': 'RefundPayment', 'reason': 'out_of_stock'},
+    {'kind': 3, 'step': 0, 'command': 'ChargePayment', 'reason': NULL}, {'kind': 3, 'step': 1.5, 'command': 'CancelOrder', 'reason': 'timed_out'},
+    {'kind': 4, 'step': 0, 'command': 'ChargePayment', 'reason': NULL}, {'kind': 4, 'step': 1, 'command': 'ReserveStock', 'reason': NULL},
+    {'kind': 4, 'step': 2.5, 'command': 'CancelOrder', 'reason': 'timed_out'}, {'kind': 4, 'step': 2.5, 'command': 'RefundPayment', 'reason': 'timed_out'},
+    {'kind': 5, 'step': 0, 'command': 'ChargePayment', 'reason': NULL}, {'kind': 5, 'step': 1, 'command': 'ReserveStock', 'reason': NULL},
+    {'kind': 5, 'step': 2, 'command': 'ShipOrder', 'reason': NULL}, {'kind': 5, 'step': 3.5, 'command': 'CancelOrder', 'reason': 'timed_out'},
+    {'kind': 5, 'step': 3.5, 'command': 'RefundPayment', 'reason': 'timed_out'}, {'kind': 5, 'step': 3.5, 'command': 'ReleaseStock', 'reason': 'timed_out'}
+  ], recursive := true))
+  SELECT order_id, command, reason, t + to_minutes(CAST(60 * step AS INT)) AS "at" FROM k JOIN c USING (kind)"""
+
+
+def _saga_events(orders: DataFrame) -> DataFrame:
+    """``step`` and the events of each saga; the creation of every fifth order is delivered
+    again with the step after it. A last event far ahead lets all timers run out."""
+    order, kind = F.col("o_orderkey"), F.col("o_orderkey") % 6
+    steps = F.when(kind == 1, F.array(F.lit(_STEPS[0]), F.lit("PaymentFailed")))
+    steps = steps.when(kind == 2, F.array(F.lit(_STEPS[0]), F.lit(_STEPS[1]), F.lit("StockOutOfStock")))
+    last = F.when(kind == 0, 4).otherwise(kind - 2)
+    steps = steps.otherwise(F.slice(F.array(*map(F.lit, _STEPS)), F.lit(1), last.cast("int")))
+    every = orders.select(order.alias("order_id"), F.posexplode(steps).alias("step", "event_type"))
+    again = every.filter((F.col("order_id") % 5 == 0) & (F.col("step") == 0))
+    every = every.withColumn("batch", F.col("step")).unionByName(again.withColumn("batch", F.lit(1)))
+    ahead = orders.sparkSession.range(1).select(
+        F.lit(-1).cast("bigint").alias("order_id"), F.lit(100).alias("step"), F.lit("OrderShipped").alias("event_type"),
+        F.lit(4).alias("batch"),
+    )
+    at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(hours=F.col("step"), secs=F.pmod(F.col("order_id"), F.lit(600)).cast("decimal(18,6)"))
+    return every.unionByName(ahead).select(
+        "order_id", F.lit(0).alias("partition"), F.col("step").cast("bigint").alias("offset"), "event_type",
+        at.alias("occurred_at"), "batch",
+        F.when(F.col("event_type") == _STEPS[1], F.concat(F.lit("t-"), "order_id")).alias("transaction_id"),
+        F.when(F.col("event_type") == _STEPS[2], F.concat(F.lit("r-"), "order_id")).alias("reservation_id"),
+    )
+
+
+@query("saga_commands_streamed", _SAGA_COMMANDS)
+def saga_commands_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Commands of an orchestrator that is started anew for each of five arrivals, with
+    sagas that finish, fail and fall silent."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    work = work_folder(spark, "orchestrator")
+    events = _saga_events(table(spark, folder, "orders"))
+    for stream in inputs.arriving(events, F.col("batch"), 5, f"{work}/events"):
+        commands = saga_commands(stream, timeout_seconds=90 * 60)
+        append_table(commands, f"{work}/commands", f"{work}/checkpoint", every=None).awaitTermination()
+    return plain_times(spark.read.parquet(f"{work}/commands"))
+
+
+# Created orders arrive in one of three batches by their key, payments in another one.
+_PAID_ITEMS = """SELECT l_orderkey AS order_id, l_partkey AS sku, CAST(l_quantity AS INT) AS quantity,
+    TIMESTAMP '2024-01-01' + to_seconds(l_orderkey % 3 * 3600 + l_orderkey % 1800) + to_minutes(CAST(l_orderkey % 20 AS INT)) AS paid_at
+  FROM lineitem WHERE l_orderkey % 11 <> 0 AND l_orderkey % 20 <= 15 AND l_orderkey IN (SELECT o_orderkey FROM orders)"""
+
+
+@query("paid_items_streamed", _PAID_ITEMS)
+def paid_items_streamed(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of paid orders from two streams: a payment arrives in a batch before, with or
+    after that of its order. Some orders are not paid, some too late, some twice."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    work = work_folder(spark, "paid")
+    order = F.col("order_id")
+    item = F.struct("l_linenumber", F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("int").alias("quantity"))
+    lines = table(spark, folder, "lineitem").groupBy(F.col("l_orderkey").alias("order_id")).agg(
+        F.sort_array(F.collect_list(item)).alias("items")
+    )
+    known = table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"))
+    seconds = (order % 3 * 3600 + order % 1800).cast("decimal(18,6)")
+    created_at = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=seconds)
+    created = lines.join(known, "order_id").select("order_id", "items", created_at.alias("created_at"))
+    paid = created.filter(order % 11 != 0).select(
+        "order_id",
+        (F.col("created_at") + F.make_dt_interval(mins=(order % 20).cast("int"))).alias("paid_at"),
+        F.lit(0).alias("partition"), order.alias("offset"),
+    )
+    paid = paid.withColumn("_n", F.explode(F.when(order % 10 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_n")
+    orders = inputs.arriving(created, order % 3, 3, f"{work}/created")
+    payments = inputs.arriving(paid, F.floor(order / 3) % 3, 3, f"{work}/payments")
+    for left, right in zip(orders, payments):
+        joined = paid_items(left, right, within_seconds=15 * 60, watermark="4 hours")
+        append_table(joined, f"{work}/table", f"{work}/checkpoint", every=None).awaitTermination()
+    items = spark.read.parquet(f"{work}/table").select("order_id", "paid_at", F.explode("items").alias("i"))
+    return plain_times(items.select("order_id", "i.sku", "i.quantity", "paid_at"))
+
+
 @query(
     "reservation_items",
     """SELECT o_orderkey AS order_id, l_partkey AS sku, l_linenumber AS line_no, l_quantity AS quantity,

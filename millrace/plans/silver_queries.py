@@ -10,7 +10,7 @@ from millrace.plans import inputs
 from millrace.plans.inputs import table, table_stream
 from millrace.plans.jobs import silver_job
 from millrace.plans.registry import drained, plain_times, query
-from millrace.runtime import work_folder
+from millrace.runtime import stored, work_folder
 from millrace.sources.tables import read_dimension
 from millrace.streaming import joins, sinks, windows
 from millrace.streaming.upsert import read_state, upsert_stream
@@ -126,6 +126,48 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Of every fourth 30-second window of the first half its first event comes too late.
+_LATE = f"""WITH e AS (SELECT *, time_bucket(INTERVAL 30 SECOND, ts, TIMESTAMP '2000-01-01') AS w FROM events),
+  held AS (SELECT w, min(event_id) AS event_id FROM e WHERE event_id <= (SELECT count(*) // 2 FROM events)
+    GROUP BY w HAVING min(event_id) % 4 = 0),
+  seen AS (SELECT * FROM e WHERE event_id NOT IN (SELECT event_id FROM held))
+  SELECT w AS window_start, count(*) AS n_events, CAST(NULL AS BIGINT) AS late_rows FROM seen
+    WHERE w + INTERVAL 30 SECOND <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM seen) GROUP BY w
+  UNION ALL SELECT NULL, NULL, count(*) FROM held"""
+
+
+@query("late_rows_dropped", _LATE)
+def late_rows_dropped(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows without the rows that came after the watermark, and how many those were,
+    as the progress of the query tells. Rows of one window and task count once there; here
+    each late row has a window of its own."""
+    work = work_folder(spark, "late")
+    events = table(spark, folder, "events")
+    half = F.lit(events.count() // 2)
+    bucket = F.window("ts", "30 seconds").getField("start")
+    held = (
+        events.filter(F.col("event_id") <= half).groupBy(bucket.alias("_w"))
+        .agg(F.min("event_id").alias("_held")).filter(F.col("_held") % 4 == 0).select("_held")
+    )
+    marked = events.join(held, F.col("event_id") == F.col("_held"), "left")
+    batch = F.when(F.col("_held").isNotNull(), 2).when(F.col("event_id") <= half, 0).otherwise(1)
+    placed = stored(marked.withColumn("_arrives", batch).drop("_held"), "late-events")
+    log = sinks.ProgressLog(spark, f"{work}/progress")
+    runs = []
+    for stream in inputs.arriving(placed, F.col("_arrives"), 3, f"{work}/events"):
+        counted = windows.counts_by_window(inputs.orders_stream(stream))
+        runs.append(sinks.append_table(counted, f"{work}/table", f"{work}/checkpoint", every=None, name="late"))
+        runs[-1].awaitTermination()
+    mine = log.close().filter(F.col("run").isin([str(r.runId) for r in runs]))
+    late = mine.agg(F.sum("late_rows").alias("late_rows")).select(
+        F.lit(None).cast("timestamp_ntz").alias("window_start"), F.lit(None).cast("bigint").alias("n_events"), "late_rows"
+    )
+    closed = plain_times(spark.read.parquet(f"{work}/table")).select(
+        "window_start", "n_events", F.lit(None).cast("bigint").alias("late_rows")
+    )
+    return closed.union(late)
+
+
 @query("updated_windows", _tumbling("hour", "1 HOUR", final=False))
 def updated_windows(spark: SparkSession, folder: str) -> DataFrame:
     """Update mode: open windows are emitted too, and upserted by window and status."""
