@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from millrace.operators.joins import floor_to
 from millrace.operators.latest import latest_per_key
 from millrace.operators.running import SECONDS_PER_CHUNK, Running, running, time_chunk
-from millrace.runtime import stored
 
 
 @dataclass(frozen=True)
@@ -255,6 +254,38 @@ def group_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
+def lag_over_time(
+    ends: DataFrame, committed: DataFrame, chunk_seconds: int = SECONDS_PER_CHUNK
+) -> DataFrame:
+    """Lag of each group at each of its commits, by the end offset known at that time.
+
+    ``ends``: topic, partition, ts, end_offset; ``committed``: consumergroup, topic,
+    partition, ts, committed_offset. Both are sampled at times of their own: a commit meets
+    the last end offset at or before it, as the latest value in one ordered pass over both.
+    A commit before the first end offset has no lag; a consumer cannot be ahead of what
+    was last seen, so the lag is zero at least.
+    """
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("bigint")
+    both = ends.select(
+        "topic", "partition", "ts", F.lit(0).alias("_kind"), no_text.alias("consumergroup"),
+        no_number.alias("committed_offset"), F.col("end_offset").cast("bigint").alias("_end"),
+    ).unionByName(
+        committed.select(
+            "topic", "partition", "ts", F.lit(1).alias("_kind"), "consumergroup",
+            F.col("committed_offset").cast("bigint").alias("committed_offset"), no_number.alias("_end"),
+        )
+    )
+    seen = running(
+        both, ["topic", "partition"], ["ts", "_kind", "consumergroup", "committed_offset", "_end"],
+        time_chunk(F.col("ts"), chunk_seconds), Running(lasts={"end_offset": F.col("_end")}),
+    )
+    lag = F.greatest(F.lit(0).cast("bigint"), F.col("end_offset") - F.col("committed_offset"))
+    return seen.filter(F.col("_kind") == 1).select(
+        "consumergroup", "topic", "partition", "ts", "committed_offset", "end_offset",
+        F.when(F.col("end_offset").isNotNull(), lag).alias("lag"),
+    )
+
+
 def commit_audit(commits: DataFrame, every: str) -> DataFrame:
     """Commits and the highest offset per group and time window."""
     return (
@@ -384,19 +415,22 @@ def cluster_sums(samples: DataFrame) -> DataFrame:
 def alert_states(
     samples: DataFrame,
     condition: Column,
-    hold_seconds: int,
+    hold_seconds: int | Column,
     max_gap_seconds: int = 2 * SCRAPE_SECONDS,
     chunk_seconds: int = SECONDS_PER_CHUNK,
+    by: tuple[str, ...] = (),
 ) -> DataFrame:
     """Adds ``state``: inactive, pending or firing, and since when it was true.
 
     A run of true samples ends at a false one, and at a gap: without samples nobody
-    knows that the condition still held.
+    knows that the condition still held. ``by``: columns that tell series apart besides
+    metric and labels.
     """
+    keys = ["_series", *by]
     keyed = samples.withColumns({"_series": series_key(), "_true": condition})
     chunk = time_chunk(F.col("ts"), chunk_seconds)
     lagged = running(
-        keyed, ["_series"], ["ts"], chunk,
+        keyed, keys, ["ts"], chunk,
         Running(lags={"_was_true": F.col("_true"), "_was_at": F.col("ts")}),
     )
     gap = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
@@ -408,16 +442,13 @@ def alert_states(
     marked = lagged.withColumn(
         "_start", F.when(F.col("_true") & ~continues, F.col("ts"))
     )
-    # The second pass reads its input twice; stored, that is not two readings of the source.
-    held = running(
-        stored(marked, "alerts"), ["_series"], ["ts"], chunk, Running(lasts={"active_since": F.col("_start")})
-    )
+    held = running(marked, keys, ["ts"], chunk, Running(lasts={"active_since": F.col("_start")}))
     age = F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(
         F.col("active_since").cast("timestamp")
     )
     state = (
         F.when(~F.coalesce(F.col("_true"), F.lit(False)), "inactive")
-        .when(age >= hold_seconds * 1_000_000, "firing")
+        .when(age >= F.lit(hold_seconds).cast("bigint") * 1_000_000, "firing")
         .otherwise("pending")
     )
     return held.withColumn("state", state).select(
@@ -442,3 +473,50 @@ def evaluate_rule(
     test = compare(F.col("value"), rule.op, rule.threshold)
     states = alert_states(mine, test, rule.hold_seconds, **options)
     return states.withColumn("alert", F.lit(rule.name))
+
+
+def _by_rule(rules: tuple[AlertRule, ...], value) -> Column:
+    """A value that depends on the name of the rule in column ``alert``."""
+    chosen = None
+    for rule in rules:
+        mine = F.col("alert") == rule.name
+        chosen = F.when(mine, value(rule)) if chosen is None else chosen.when(mine, value(rule))
+    return chosen
+
+
+def evaluate_rules(
+    samples: DataFrame,
+    rules: tuple[AlertRule, ...] = ALERT_RULES,
+    step_seconds: int = RULE_SECONDS,
+    lookback_seconds: int = LOOKBACK_SECONDS,
+    **options,
+) -> DataFrame:
+    """States of all rules at every evaluation, from one pass over the samples.
+
+    The rules are a handful of constants, so they become expressions: a sample names the
+    rules that select it, and threshold and duration follow from the name. Rules on a
+    cluster sum add up their series at each time; the others keep every series.
+    """
+    named = []
+    for rule in rules:
+        hit = F.col("metric") == rule.metric
+        for name, value in rule.labels:
+            hit = hit & (label(name) == value)
+        named.append(F.when(hit, F.lit(rule.name)))
+    alerts = F.array_compact(F.array(*named))
+    metrics = sorted({r.metric for r in rules})
+    # Which series count is known from the labels, so it is settled before the grid.
+    chosen = samples.filter(F.col("metric").isin(metrics)).filter(F.size(alerts) > 0)
+    each = on_grid(chosen, step_seconds, lookback_seconds).withColumn("alert", F.explode(alerts))
+    summed = _by_rule(rules, lambda r: F.lit(r.cluster_sum))
+    none = F.create_map().cast("map<string,string>")
+    series = each.withColumn("labels", F.when(summed, none).otherwise(F.col("labels")))
+    added = (
+        series.groupBy("ts", "alert", "metric", series_key().alias("_key"))
+        .agg(F.sum("value").alias("value"), F.first("labels").alias("labels"))
+        .drop("_key")
+    )
+    test = _by_rule(rules, lambda r: compare(F.col("value"), r.op, r.threshold))
+    hold = _by_rule(rules, lambda r: F.lit(r.hold_seconds))
+    options = {"max_gap_seconds": 2 * step_seconds} | options
+    return alert_states(added, test, hold, by=("alert",), **options)

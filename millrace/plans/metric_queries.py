@@ -245,6 +245,84 @@ def instances_up(spark: SparkSession, folder: str) -> DataFrame:
     return M.instances_up(samples)
 
 
+# Every event is a sample of each of the four rules' metrics, by one of three brokers; the
+# third stops reporting half way. Evaluated hourly, with samples seen for two hours.
+_ALL_RULES = """WITH s AS (SELECT ts, 'b' || (user_id % 3) AS instance, user_id, event_type,
+      date_trunc('hour', ts - INTERVAL 1 MICROSECOND) + INTERVAL 1 HOUR AS g FROM events
+    WHERE user_id % 3 <> 2 OR event_id < (SELECT count(*) // 2 FROM events)),
+  m AS (SELECT 'KafkaUnderReplicatedPartitions' AS alert, instance, ts, g, CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS v FROM s
+    UNION ALL SELECT 'KafkaActiveControllerCountInvalid', instance, ts, g,
+      CASE WHEN instance = 'b0' AND event_type <> 'signup' OR instance = 'b1' AND event_type = 'click' THEN 1 ELSE 0 END FROM s
+    UNION ALL SELECT 'KafkaOfflinePartitions', instance, ts, g, CASE WHEN event_type = 'view' THEN 2 ELSE 0 END FROM s
+    UNION ALL SELECT 'KafkaBrokerDown', instance, ts, g, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END FROM s),
+  seen AS (SELECT alert, instance, g + to_hours(CAST(k AS INT)) AS grid, ts, v FROM m, (SELECT unnest([0, 1]) AS k)),
+  last AS (SELECT alert, instance, grid, max({'ts': ts, 'v': v}).v AS v FROM seen GROUP BY ALL),
+  f AS (SELECT alert, CASE WHEN alert = 'KafkaBrokerDown' THEN instance END AS instance, grid AS ts, sum(v) AS v FROM last GROUP BY ALL),
+  c AS (SELECT *, CASE alert WHEN 'KafkaActiveControllerCountInvalid' THEN v <> 1 WHEN 'KafkaBrokerDown' THEN v = 0 ELSE v > 0 END AS hot FROM f),
+  p AS (SELECT *, lag(hot) OVER w AS was, lag(ts) OVER w AS was_at FROM c WINDOW w AS (PARTITION BY alert, instance ORDER BY ts)),
+  r AS (SELECT *, last_value(CASE WHEN hot AND NOT coalesce(was AND ts - was_at <= INTERVAL 1 HOUR, false) THEN ts END IGNORE NULLS)
+      OVER (PARTITION BY alert, instance ORDER BY ts) AS since FROM p)
+  SELECT ts, alert, instance, CAST(v AS DOUBLE) AS value,
+    CASE WHEN NOT hot THEN 'inactive' WHEN ts > since THEN 'firing' ELSE 'pending' END AS state FROM r"""
+
+
+@query("alerts_of_all_rules", _ALL_RULES)
+def alerts_of_all_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """All four catalogued rules in one pass. A second job has an ``up`` of its own, which
+    no rule may see."""
+    events = table(spark, folder, "events")
+    half = events.count() // 2
+    broker, kind = F.col("user_id") % 3, F.col("event_type")
+    instance = F.concat(F.lit("b"), broker)
+
+    def sample(metric: str, value, job: str = "kafka-brokers"):
+        labels = F.create_map(F.lit("instance"), instance, F.lit("job"), F.lit(job))
+        return F.struct(F.lit(metric).alias("metric"), labels.alias("labels"), value.cast("double").alias("value"))
+
+    replicas, controllers, up, offline = (r.metric for r in M.ALERT_RULES)
+    controls = ((broker == 0) & (kind != "signup")) | ((broker == 1) & (kind == "click"))
+    each = F.array(
+        sample(replicas, F.when(kind == "error", 1).otherwise(0)),
+        sample(controllers, F.when(controls, 1).otherwise(0)),
+        sample(offline, F.when(kind == "view", 2).otherwise(0)),
+        sample(up, F.when(kind == "error", 0).otherwise(1)),
+        sample(up, F.lit(0), "connect"),
+    )
+    samples = (
+        events.filter((broker != 2) | (F.col("event_id") < half))
+        .select(F.col("ts").cast("timestamp").alias("ts"), F.explode(each).alias("s"))
+        .select("ts", "s.*")
+    )
+    states = M.evaluate_rules(samples, step_seconds=3600, lookback_seconds=7200, max_gap_seconds=3600)
+    return plain_times(
+        states.select("ts", "alert", M.label("instance").alias("instance"), "value", "state")
+    )
+
+
+_LAG_SERIES = """WITH e AS (SELECT event_type AS topic, CAST(user_id % 3 AS INT) AS "partition", ts, event_id AS end_offset FROM events),
+  c AS (SELECT 'g' || (user_id % 5) AS consumergroup, event_type AS topic, CAST(user_id % 3 AS INT) AS "partition",
+    ts + to_minutes(CAST(event_id % 90 AS INT)) - INTERVAL 20 MINUTE AS ts, event_id - event_id % 40 AS committed_offset
+    FROM events WHERE event_id % 3 = 0)
+  SELECT consumergroup, c.topic, c."partition", c.ts, committed_offset, end_offset,
+    CASE WHEN end_offset IS NOT NULL THEN greatest(0, end_offset - committed_offset) END AS lag
+  FROM c ASOF LEFT JOIN e ON c.topic = e.topic AND c."partition" = e."partition" AND c.ts >= e.ts"""
+
+
+@query("lag_series", _LAG_SERIES)
+def lag_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Lag at every commit, by the last end offset sampled before it."""
+    events = table(spark, folder, "events")
+    place = [F.col("event_type").alias("topic"), (F.col("user_id") % 3).cast("int").alias("partition")]
+    ts, no = F.col("ts").cast("timestamp"), F.col("event_id")
+    ends = events.select(*place, ts.alias("ts"), no.alias("end_offset"))
+    late = F.make_dt_interval(mins=(no % 90 - 20).cast("int"))
+    committed = events.filter(no % 3 == 0).select(
+        F.concat(F.lit("g"), F.col("user_id") % 5).alias("consumergroup"), *place,
+        (ts + late).alias("ts"), (no - no % 40).alias("committed_offset"),
+    )
+    return plain_times(M.lag_over_time(ends, committed))
+
+
 @query(
     "scaled_quantile",
     """SELECT event_id, CAST(value AS DECIMAL(18,2))::DOUBLE * 100 AS value FROM events WHERE event_type = 'view'""",

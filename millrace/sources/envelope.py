@@ -3,6 +3,8 @@ it comes from a broker or from files of the same layout."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,7 @@ from millrace.functions.rules import strict_variant
 from millrace.schemas import ENVELOPE
 
 UNDECODABLE = "undecodable"
+UNKNOWN_SCHEMA = "unknown_schema"
 FILES_PER_TRIGGER = 1_000
 _CORRUPT = "_corrupt"
 
@@ -103,7 +106,44 @@ def decode(envelope: DataFrame, decoder, required: list[str]) -> DataFrame:
     A payload counts as undecodable when it comes out null or any required field does.
     """
     broken = framing.frame_error(F.col("value"))
-    data = F.when(broken.isNull(), decoder(framing.payload(F.col("value"))))
+    return _decoded(envelope, broken, decoder(framing.payload(F.col("value"))), required)
+
+
+def decode_by_id(
+    envelope: DataFrame,
+    decoders: dict[int, tuple[T.StructType, Callable]],
+    reader: T.StructType,
+    required: list[str],
+) -> DataFrame:
+    """Like :func:`decode`, each message by the decoder of the schema id in its frame.
+
+    ``decoders``: the schema of each id and its decoder; ``reader`` is the schema that all come out in: fields that a message's own schema lacks
+    are null, those that only it has are left out. An id without decoder is an error of its own.
+    """
+    number = framing.schema_id(F.col("value"))
+    payload = framing.payload(F.col("value"))
+    broken = F.coalesce(
+        framing.frame_error(F.col("value")),
+        F.when(~number.isin(*decoders), UNKNOWN_SCHEMA),
+    )
+    data = None
+    for schema, (writer, decoder) in decoders.items():
+        made = _as_read(decoder(payload), writer, reader)
+        data = F.when(number == schema, made) if data is None else data.when(number == schema, made)
+    return _decoded(envelope, broken, data, required)
+
+
+def _as_read(data: Column, writer: T.StructType, reader: T.StructType) -> Column:
+    """A decoded struct with the fields of the reader's schema, by name."""
+    fields = [
+        (data[f.name] if f.name in writer.names else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in reader
+    ]
+    return F.when(data.isNotNull(), F.struct(*fields))
+
+
+def _decoded(envelope: DataFrame, broken: Column, data: Column, required: list[str]) -> DataFrame:
+    data = F.when(broken.isNull(), data)
     decoded = envelope.withColumn("data", data)
     undecodable = F.col("data").isNull()
     for name in required:
