@@ -13,7 +13,9 @@ What that misses is looked for in three further ways. ``unnamed``: templates of
 lower case without names, for copies in any case and in any place of a sentence.
 ``linked``: a name at the start of a sentence counts if the text has it inside a sentence
 too, and a row of names is one placeholder; the first word of an item is tried as a name as
-well. Items without any window: their whole sequence of words.
+well. Items without any window: their whole sequence of words. The three templates come from
+one reading of a text, and its windows go through one lookup; where they are alike, as in a
+text without names, they are one.
 """
 
 from __future__ import annotations
@@ -63,14 +65,24 @@ OTHER = r"[^ a-z0-9\x{C0}-\x{1FFF}\x{2C00}-\x{10FFFF}]+"
 PLACEHOLDER = rf"([{NUMBER}-{UNIT}])[^ ]*"
 
 
-def marked(text: Column) -> Column:
-    """The words of a text, separated by single spaces, each value behind its marker."""
-    out = F.coalesce(text, F.lit(""))
-    for pattern, put in STEPS:
+def _marked_all(text: Column) -> Column:
+    """The words of a text, separated by single spaces, each value behind its marker, and
+    capitalised words at the start of a sentence behind theirs."""
+    blank = F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     ")
+    out = F.regexp_replace(blank, " {2,}", " ")
+    # All names at once: what stands before one is looked at and not used up.
+    out = F.regexp_replace(out, r"(?<=[^.!?] )(\p{Lu}\p{Ll}+)", f"{NAME}$1")
+    out = F.regexp_replace(out, r"(^ ?|[.!?] )(\p{Lu}\p{Ll}+)", f"$1{INITIAL}$2")
+    for pattern, put in STEPS[3:]:
         out = F.regexp_replace(out, pattern, put)
     return _plain(out)
 
 
+def marked(text: Column) -> Column:
+    """The words of a text, separated by single spaces, each value behind its marker."""
+    return F.translate(_marked_all(text), INITIAL, "")
+
+
 def template(words: Column) -> Column:
     """Marked words with the values taken away."""
     return F.regexp_replace(words, PLACEHOLDER, "$1")
@@ -82,92 +94,110 @@ def _plain(out: Column) -> Column:
     return F.trim(F.regexp_replace(apart, " {2,}", " "))
 
 
-def named(df: DataFrame, key: str) -> DataFrame:
-    """``(key, m)``: the marked words of each text."""
-    return df.select(key, marked(F.col("text")).alias("m"))
+#: Ways to look at a text, and the bit of each.
+NAMED, UNNAMED, LINKED = 0, 1, 2
 
 
-def unnamed(df: DataFrame, key: str) -> DataFrame:
-    """The same in lower case, with numbers and units marked only."""
-    out = F.lower(F.coalesce("text", F.lit("")))
-    for pattern, put in STEPS:
-        if NAME not in put:
-            out = F.regexp_replace(out, pattern, put)
-    return df.select(key, _plain(out).alias("m"))
+def _three_ways(df: DataFrame, key: str) -> DataFrame:
+    """``(key, named, unnamed, linked)``: the words of each text in three ways, from one
+    reading of it.
 
+    ``named`` has names, numbers and units marked; ``unnamed`` is in lower case without
+    names; ``linked`` marks names at the start of a sentence that occur inside one too, and
+    has one placeholder for a row of names.
+    """
+    full = df.select(key, _marked_all(F.col("text")).alias("f"))
+    f = F.col("f")
+    unnamed = F.regexp_replace(
+        F.translate(f, NAME + INITIAL, ""),
+        rf"({NUMBER}[0-9{POINT}]+) ({'|'.join(UNITS)})(?= |$)",
+        rf"$1 {UNIT}$2",
+    )
 
-def linked(df: DataFrame, key: str) -> DataFrame:
-    """The same with names at the start of a sentence that occur inside one too, and with
-    one placeholder for a row of names."""
-    out = F.coalesce("text", F.lit(""))
-    for i, (pattern, put) in enumerate(STEPS):
-        out = F.regexp_replace(out, pattern, put)
-        if NAME in put and NAME not in STEPS[i + 1][1]:
-            out = F.regexp_replace(out, r"(^ ?|[.!?] )(\p{Lu}\p{Ll}+)", rf"$1{INITIAL}$2")
-
-    def behind(words: str, marker: str) -> Column:
-        held = F.filter(words, lambda w: w.startswith(marker))
-        return F.transform(held, lambda w: F.substring(w, 2, 1 << 20))
-
-    words = df.select(key, F.split(_plain(out), " ").alias("w"))
-    both = F.array_intersect(behind("w", INITIAL), behind("w", NAME))
-    # ``both`` is used twice, so that it is made once a text and not once a word.
-    resolved = F.when(
-        F.size("both") > 0,
-        F.transform(
-            "w",
-            lambda w: F.when(
-                w.startswith(INITIAL) & F.array_contains("both", F.substring(w, 2, 1 << 20)),
-                F.concat(F.lit(NAME), F.substring(w, 2, 1 << 20)),
-            ).otherwise(w),
-        ),
-    ).otherwise(F.col("w"))
-    named_too = words.select(key, "w", both.alias("both")).select(key, resolved.alias("w"))
-    text = F.regexp_replace(F.array_join("w", " "), INITIAL, "")
-    return named_too.select(key, F.regexp_replace(text, rf"({NAME}[^ ]*) (?={NAME})", "$1-").alias("m"))
-
-
-def _windows(df: DataFrame, key: str, make=named) -> DataFrame:
-    """``(key, at, h, window, values)``: every window, its hash and what stood there."""
-    words = make(df, key).select(
-        key, F.split("m", " ").alias("values"), F.split(template(F.col("m")), " ").alias("words")
+    def behind(marker: str) -> Column:
+        return F.regexp_extract_all(f, F.lit(f"{marker}([^ ]+)"), F.lit(1))
+
+    rows = full.select(
+        key, "f", unnamed.alias("unnamed"), F.array_intersect(behind(INITIAL), behind(NAME)).alias("both")
+    )
+    # Words have no signs that mean something in a pattern.
+    pattern = F.concat(F.lit(f"{INITIAL}("), F.array_join("both", "|"), F.lit(")(?= |$)"))
+    resolved = F.when(F.size("both") > 0, F.regexp_replace(f, pattern, F.lit(f"{NAME}$1"))).otherwise(f)
+    one_row = F.regexp_replace(F.translate(resolved, INITIAL, ""), rf"({NAME}[^ ]*) (?={NAME})", "$1-")
+    return rows.select(key, F.translate(f, INITIAL, "").alias("named"), "unnamed", one_row.alias("linked"))
+
+
+def _variants(df: DataFrame, key: str) -> DataFrame:
+    """``(key, ways, m)``: the different ones of the three ways, with the bits of the ways
+    that each stands for."""
+    same_unnamed, same_linked = F.col("unnamed") == F.col("named"), F.col("linked") == F.col("named")
+    bits = F.lit(1 << NAMED) + F.when(same_unnamed, 1 << UNNAMED).otherwise(0) + F.when(same_linked, 1 << LINKED).otherwise(0)
+    found = F.array(
+        F.struct(bits.alias("ways"), F.col("named").alias("m")),
+        F.when(~same_unnamed, F.struct(F.lit(1 << UNNAMED).alias("ways"), F.col("unnamed").alias("m"))),
+        F.when(~same_linked, F.struct(F.lit(1 << LINKED).alias("ways"), F.col("linked").alias("m"))),
+    )
+    return _three_ways(df, key).select(key, F.explode(F.array_compact(found)).alias("v")).select(key, "v.*")
+
+
+def _windows(marked_words: DataFrame) -> DataFrame:
+    """Rows with marked words ``m``: every window, its place and hash and what stood there."""
+    others = [c for c in marked_words.columns if c != "m"]
+    words = marked_words.select(
+        *others, F.split("m", " ").alias("values"), F.split(template(F.col("m")), " ").alias("words")
     )
     # A condition on the number of words below the generator, stated or inferred, would
     # make every text a template twice; the outer form has its condition above it.
     at = F.explode_outer(
         F.when(F.size("words") >= WINDOW, F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)))
     )
-    placed = words.select(key, "values", "words", at.alias("at")).filter("at IS NOT NULL")
+    placed = words.select(*others, "values", "words", at.alias("at")).filter("at IS NOT NULL")
     hashed = F.xxhash64(*[F.element_at("words", F.col("at") + i) for i in range(WINDOW)])
-    return placed.select(key, "at", hashed.alias("h"), "values", "words")
+    return placed.select(*others, "at", hashed.alias("h"), "values", "words")
 
 
-def item_windows(benchmark: DataFrame, make=named) -> DataFrame:
-    """``(item_id, at, h, values, words)``: the windows of the items that count.
+def item_windows(benchmark: DataFrame) -> DataFrame:
+    """``(item, way, at, h, values, words)``: the windows of the items that count, for each
+    way of looking at them; ``item`` holds the item_id and the way.
 
     Items of fewer than ``WINDOW`` words have none. Rows without item_id take no part.
     """
-    windows = _windows(benchmark.filter("item_id IS NOT NULL"), "item_id", make).select(
-        "item_id",
+    items = benchmark.filter("item_id IS NOT NULL").select("item_id", "text")
+    # A comma before the first word of an item makes it a name, which counts when linked.
+    twice = items.select("item_id", F.explode(F.array("text", F.concat(F.lit(", "), F.col("text")))).alias("text"))
+    twice = twice.select(F.struct("item_id", F.col("text").startswith(", ").alias("begins")).alias("k"), "text")
+    begins = F.coalesce("k.begins", F.lit(False))
+    each = F.explode(
+        F.array(
+            F.when(~begins, F.struct(F.lit(NAMED).alias("way"), F.col("named").alias("m"))),
+            F.when(~begins, F.struct(F.lit(UNNAMED).alias("way"), F.col("unnamed").alias("m"))),
+            F.struct(F.lit(LINKED).alias("way"), F.col("linked").alias("m")),
+        )
+    )
+    ways = _three_ways(twice, "k").select("k", begins.alias("begins"), each.alias("v")).filter("v IS NOT NULL")
+    keyed = ways.select(F.struct("k.item_id", "v.way", "begins").alias("item"), F.col("v.way").alias("way"), "v.m")
+    windows = _windows(keyed).select(
+        "item",
+        "way",
         "at",
         "h",
         F.slice("values", F.col("at"), WINDOW).alias("values"),
         F.slice("words", F.col("at"), WINDOW).alias("words"),
     )
     literals = F.size(F.filter("words", lambda w: ~w.rlike(f"^[{NUMBER}-{UNIT}]")))
-    return windows.filter(literals >= LITERALS).dropDuplicates(["item_id", "at", "h"])
+    return windows.filter(literals >= LITERALS).dropDuplicates(["item", "at", "h"])
 
 
-def _found(docs: DataFrame, items: DataFrame, make) -> DataFrame:
+def _found(docs: DataFrame, items: DataFrame) -> DataFrame:
     """What ``judged`` says of the documents' windows that items have."""
     hashes = items.select("h").distinct()
     blocks = max(1, -(-hashes.count() // BROADCAST_HASHES))
-    windows = _windows(docs.filter("doc_id IS NOT NULL"), "doc_id", make)
+    windows = _windows(_variants(docs.filter("doc_id IS NOT NULL"), "doc_id"))
     hits = None
     for block in range(blocks):
         these = hashes.filter(F.pmod("h", F.lit(blocks)) == block)
         found = windows.join(F.broadcast(these), "h", "left_semi").select(
-            "doc_id", "at", "h", F.slice("values", F.col("at"), WINDOW).alias("values")
+            "doc_id", "ways", "at", "h", F.slice("values", F.col("at"), WINDOW).alias("values")
         )
         hits = found if hits is None else hits.union(found)
     return judged(hits, items)
@@ -179,22 +209,22 @@ def _whole(docs: DataFrame, items: DataFrame) -> DataFrame | None:
     theirs = items.select("item_id", F.split(text, " ").alias("item_words"), text.alias("t"))
     theirs = stored(
         theirs.filter("t <> ''").select(
-            "item_id", "item_words", F.size("item_words").alias("n"), F.xxhash64("item_words").alias("h")
+            "item_id", "item_words", F.size("item_words").alias("n")
         ).distinct(),
         "whole-items",
     )
-    sizes = sorted(r.n for r in theirs.select("n").distinct().collect())
-    if not sizes:
+    least = theirs.agg(F.min("n")).first()[0]
+    if least is None:
         return None
+    # A place is looked up by the hash of as many words as the shortest item has.
+    theirs = theirs.withColumn("h", F.xxhash64(F.slice("item_words", 1, least)))
     words = docs.filter("doc_id IS NOT NULL").select("doc_id", F.split(text, " ").alias("words"))
     placed = words.select("doc_id", "words", F.explode(F.sequence(F.lit(1), F.size("words"))).alias("at"))
-    n = F.explode(F.array(*[F.lit(k) for k in sizes]))
-    parts = placed.select("doc_id", "words", "at", n.alias("n")).filter("at + n <= size(words) + 1")
-    parts = parts.withColumn("part", F.slice("words", F.col("at"), F.col("n")))
+    begin = F.slice("words", F.col("at"), F.lit(least))
     return (
-        parts.select("doc_id", "n", "part", F.xxhash64("part").alias("h"))
-        .join(theirs, ["n", "h"])
-        .filter("part = item_words")
+        placed.select("doc_id", "words", "at", F.xxhash64(begin).alias("h"))
+        .join(theirs, "h")
+        .filter(F.slice("words", F.col("at"), F.col("n")) == F.col("item_words"))
         .select(
             "doc_id",
             "item_id",
@@ -216,28 +246,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     nothing. Rows without doc_id or item_id take no part; rows that share a doc_id
     count as one document. Empty tables give an empty table.
     """
-    found = _found(docs, stored(item_windows(benchmark), "item-windows"), named)
-    found = found.withColumn("way", F.lit(1))
-
-    lower = stored(item_windows(benchmark, unnamed), "item-windows")
-    more = _found(docs, lower, unnamed)
-    # A comma before the first word of an item makes it a name.
-    twice = benchmark.filter("item_id IS NOT NULL").select(
-        F.col("item_id").alias("id"),
-        F.explode(F.array("text", F.concat(F.lit(", "), F.col("text")))).alias("text"),
+    items = stored(item_windows(benchmark), "item-windows")
+    found = _found(docs, items).select(
+        "doc_id", "item.item_id", "windows", "item_windows", "same_values",
+        F.when(F.col("item.way") == NAMED, 1).otherwise(0).alias("way"),
     )
-    twice = twice.select(F.struct("id", F.col("text").startswith(", ").alias("name")).alias("item_id"), "text")
-    loose = _found(docs, stored(item_windows(twice, linked), "item-windows"), linked)
-    more = more.union(loose.withColumn("item_id", F.col("item_id.id")))
-
-    bare = benchmark.filter("item_id IS NOT NULL").join(lower.select("item_id"), "item_id", "left_anti")
+    plain = items.filter(F.col("way") == UNNAMED).select("item.item_id")
+    bare = benchmark.filter("item_id IS NOT NULL").join(plain, "item_id", "left_anti")
     whole = _whole(docs, bare)
     if whole is not None:
-        more = more.union(whole)
+        found = found.union(whole.withColumn("way", F.lit(0)))
     best = F.struct("way", "windows", "item_windows", "same_values")
     return (
-        found.union(more.withColumn("way", F.lit(0)))
-        .groupBy("doc_id", "item_id")
+        found.groupBy("doc_id", "item_id")
         .agg(F.max(best).alias("best"))
         .select("doc_id", "item_id", "best.windows", "best.item_windows", "best.same_values")
     )
@@ -246,38 +267,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def judged(hits: DataFrame, items: DataFrame) -> DataFrame:
     """Alignments of the hits whose values fit, and the items that enough of them meet."""
     theirs = items.select(
-        "h", "item_id", F.col("at").alias("item_at"), F.col("values").alias("item_values"), "words"
+        "h", "item", "way", F.col("at").alias("item_at"), F.col("values").alias("item_values"), "words"
     )
-    met = hits.join(theirs, "h").withColumn("shift", F.col("at") - F.col("item_at"))
+    seen = F.col("ways").bitwiseAND(F.expr("shiftleft(1, way)")) != 0
+    met = hits.join(theirs, "h").filter(seen).withColumn("shift", F.col("at") - F.col("item_at"))
     # One row for each value of the item, or one without value for a window without any.
     slots = F.filter(
         F.arrays_zip("words", "item_values", "values"),
         lambda x: x["words"].rlike(f"^[{NUMBER}-{UNIT}]"),
     )
     values = met.select(
-        "doc_id", "item_id", "shift", "item_at", F.explode_outer(slots).alias("slot")
+        "doc_id", "item", "shift", "item_at", F.explode_outer(slots).alias("slot")
     )
-    by_value = values.groupBy("doc_id", "item_id", "shift", "slot.item_values").agg(
+    by_value = values.groupBy("doc_id", "item", "shift", "slot.item_values").agg(
         F.min("slot.values").alias("least"),
         F.max("slot.values").alias("most"),
         F.collect_set("item_at").alias("places"),
     )
-    by_shift = by_value.groupBy("doc_id", "item_id", "shift").agg(
+    by_shift = by_value.groupBy("doc_id", "item", "shift").agg(
         F.bool_and(F.col("least").eqNullSafe(F.col("most"))).alias("fits"),
         F.bool_and(F.col("least").eqNullSafe(F.col("item_values"))).alias("same"),
         F.flatten(F.collect_list("places")).alias("places"),
     )
-    sizes = items.groupBy("item_id").agg(F.countDistinct("at").alias("item_windows"))
+    sizes = items.groupBy("item").agg(F.countDistinct("at").alias("item_windows"))
     return (
         by_shift.filter("fits")
-        .groupBy("doc_id", "item_id")
+        .groupBy("doc_id", "item")
         .agg(
             F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("bigint").alias("windows"),
             F.bool_and("same").alias("same_values"),
         )
-        .join(sizes, "item_id")
+        .join(sizes, "item")
         .filter(F.col("windows") >= F.least(F.col("item_windows"), F.lit(NEEDED)))
-        .select("doc_id", "item_id", "windows", "item_windows", "same_values")
+        .select("doc_id", "item", "windows", "item_windows", "same_values")
     )
 
 
