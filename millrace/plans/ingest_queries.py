@@ -195,3 +195,25 @@ def command_validation(spark: SparkSession, folder: str) -> DataFrame:
     return parsed.select(
         "o_orderkey", F.coalesce("error_message", F.lit("accepted")).alias("verdict")
     )
+
+
+@query(
+    "command_strictness",
+    """SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN 'invalid:customer_id' WHEN 1 THEN 'unreadable'
+         WHEN 2 THEN 'invalid:items' WHEN 3 THEN 'unreadable' ELSE 'accepted' END AS verdict
+       FROM orders WHERE o_orderpriority = '5-LOW'""",
+)
+def command_strictness(spark: SparkSession, folder: str) -> DataFrame:
+    """Commands that a lenient parser would take: a customer id that is a number, text after
+    the command, a quantity in words, and two commands in one message."""
+    order, text = F.col("o_orderkey"), F.col("value")
+    whole = place_order_messages(table(spark, folder, "orders").filter("o_orderpriority = '5-LOW'"))
+    broken = (
+        F.when(order % 5 == 0, F.regexp_replace(text, r'"customer_id":"(\d+)"', r'"customer_id":$1'))
+        .when(order % 5 == 1, F.concat(text, F.lit(" and more")))
+        .when(order % 5 == 2, F.replace(text, F.lit('"quantity":2'), F.lit('"quantity":"two"')))
+        .when(order % 5 == 3, F.concat(text, text))
+        .otherwise(text)
+    )
+    parsed = parse_commands(whole.withColumn("value", broken))
+    return parsed.select("o_orderkey", F.coalesce("error_message", F.lit("accepted")).alias("verdict"))

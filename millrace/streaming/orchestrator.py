@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -64,15 +65,23 @@ def _orchestrator(timeout_ms: int, keep_ms: int) -> StatefulProcessor:
                     saga["sent"].add(command)
                     yield Row(order_id=key[0], command=command, reason=reason, at=at)
 
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-            saga, last = self._load(), None
+        def _expire(self, saga: dict, key, due: int) -> Iterator[Row]:
+            saga["status"] = "CANCELLED"
+            at = datetime.fromtimestamp(due / 1000, timezone.utc).replace(tzinfo=None)
+            yield from self._commands(saga, key, at, timed_out)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            saga, heard = self._load(), False
+            due = saga["due"]
             for row in sorted(rows, key=lambda r: (r["partition"], r["offset"])):
-                place = (row["partition"], row["offset"])
+                place, at = (row["partition"], row["offset"]), int(row["at_ms"])
                 if saga["offset"] is not None and place <= (saga["partition"], saga["offset"]):
                     continue  # delivered again
+                if saga["status"] in forward and due is not None and at > due:
+                    # The answer is too late, though no timer has run out yet.
+                    yield from self._expire(saga, key, due)
                 saga["partition"], saga["offset"] = place
-                last = row
-                kind, reason = row["event_type"], None
+                kind, reason, heard = row["event_type"], None, True
                 saga["transaction_id"] = saga["transaction_id"] or row["transaction_id"]
                 saga["reservation_id"] = saga["reservation_id"] or row["reservation_id"]
                 if saga["status"] != "CANCELLED":
@@ -82,21 +91,17 @@ def _orchestrator(timeout_ms: int, keep_ms: int) -> StatefulProcessor:
                         saga["status"] = after.get(kind, saga["status"])
                 # A payment that comes after the cancellation is refunded too.
                 yield from self._commands(saga, key, row["occurred_at"], reason)
-            if last is not None:
-                waits = timeout_ms if saga["status"] in forward else keep_ms
-                self._store(saga, int(last["at_ms"]) + waits)
+                due = at + (timeout_ms if saga["status"] in forward else keep_ms)
+            if heard:
+                self._store(saga, due)
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
             saga, due = self._load(), expiredTimerInfo.getExpiryTimeInMs()
             if saga["due"] != due:
                 return
             if saga["status"] in forward:
-                saga["status"], saga["due"] = "CANCELLED", None
-                from datetime import datetime, timezone
-
-                at = datetime.fromtimestamp(due / 1000, timezone.utc).replace(tzinfo=None)
-                yield from self._commands(saga, key, at, timed_out)
-                self._store(saga, due + keep_ms)
+                yield from self._expire(saga, key, due)
+                self._store(saga | {"due": None}, due + keep_ms)
             else:
                 self._saga.clear()
 
