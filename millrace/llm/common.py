@@ -26,3 +26,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def word_count(text: Column) -> Column:
     """Number of words in a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
+def quoted(name: str) -> Column:
+    """A column by its whole name, whatever signs that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def plainly_named(df: DataFrame) -> DataFrame:
+    """The same columns, those with a backtick in their name under one that Python
+    functions over whole batches can take; give the names back with ``toDF``."""
+    return df.toDF(*[f"_column_{i}" if "`" in c else c for i, c in enumerate(df.columns)])

@@ -24,6 +24,9 @@ from itertools import groupby
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from millrace.llm.common import plainly_named
 
 ROUNDS = 10
 #: Pseudonyms one task remembers.
@@ -295,7 +298,8 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
     hold; a column ``found`` is replaced. Rows are treated alone, so ties, repeated rows
     and empty tables need no rule.
     """
-    plain = docs.drop("found")
+    given = docs.drop("found")
+    plain = plainly_named(given)
     kinds = list(dict.fromkeys(k for k, _, _ in KINDS))
     found_type = pa.list_(pa.struct([("kind", pa.string()), ("number", pa.int32())]))
 
@@ -319,5 +323,6 @@ def pseudonymise(docs: DataFrame, key: bytes, back: bool = False) -> DataFrame:
                 [*columns, pa.array(found, found_type)], [*batch.schema.names, "found"]
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    return plain.mapInArrow(run, f"{fields}, found array<struct<kind:string,number:int>>")
+    counts = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("number", T.IntegerType())]))
+    out = plain.mapInArrow(run, T.StructType([*plain.schema, T.StructField("found", counts)]))
+    return out.toDF(*given.columns, "found")

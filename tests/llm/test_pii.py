@@ -61,3 +61,11 @@ def test_frame(spark):
     back = pii.pseudonymise(out, KEY, back=True)
     assert sorted((str(r.doc_id), str(r.text)) for r in back.collect()) == sorted((str(r[0]), str(r[1])) for r in rows)
     assert pii.pseudonymise(docs.filter("doc_id > 99"), KEY).count() == 0
+
+
+def test_odd_column_names(spark):
+    frame = spark.createDataFrame([("mail a.b@example.com", 1, "x")], "text string, `a``b` int, found string")
+    out = pii.pseudonymise(frame, KEY)
+    assert out.columns == ["text", "a`b", "found"]
+    row = out.collect()[0]
+    assert row[1] == 1 and row[2] and row[0] != "mail a.b@example.com"
