@@ -6,12 +6,13 @@ the end that the sign of the query's component asks for, a segment raises a scor
 most the query's component times the segment's best impact, counted from the worst impact
 of its dimension, so all contributions are zero or more.
 
-A query processes segments by descending contribution until a share of its postings is
-done. Each accumulator then holds what the seen dimensions of a vector can give beyond
+A query processes segments by descending contribution. Now and then it looks for a proof.
+Each accumulator then holds what the seen dimensions of a vector can give beyond
 what an unseen one can at most, and adding the latter gives an upper bound of the score.
 The exact scores of the vectors with the best accumulators give a threshold. A vector
-whose bound is below it is proven out; all others are possible members and rescored
-exactly, however many they are. Shards give their best k each, and a window the best of
+whose bound is below it is proven out. The query stops when all but a small share of the
+shard is proven out, or when no segment is left; the possible members that remain are
+rescored exactly, however many they are. Shards give their best k each, and a window the best of
 those.
 """
 
@@ -30,8 +31,12 @@ SHARD_ROWS = 16_384
 #: Queries that meet a shard in one group.
 QUERY_ROWS = 4_096
 LEVELS = 32
-#: Share of the postings that a query processes before it looks for a proof.
-PROCESSED = 0.75
+#: Shares of the postings after which a query looks for a proof; the last one is all of them.
+LOOKS = (0.75, 0.9, 1.0)
+#: Share of a shard that may be possible members when the proof counts as found.
+PROVEN = 1 / 32
+#: Squared length of a vector of whole numbers; below it no score leaves 64 bits.
+LONGEST = 1 << 58
 #: Vectors with the best accumulators whose exact scores give the threshold.
 PROBED = 64
 SCALE = 1024
@@ -41,7 +46,9 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``(vec_id, v)``: ``floor(scale * component)`` as bytes of 64-bit numbers.
 
     Rows without vec_id, vectors that are null and vectors with a null or non-finite
-    component are left out. Rows that repeat an id and its vector are one row.
+    component are left out. Rows that repeat an id and its vector are one row. An empty
+    vector has score 0 with any other. A vector whose squared length would reach ``LONGEST``
+    fails the job, as scores could leave 64 bits.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,8 +60,11 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
                     continue
                 x = values.to_numpy(zero_copy_only=False).astype(np.float64)
                 if np.isfinite(x).all():
+                    x = np.floor(scale * x)
+                    if not (x * x).sum() < LONGEST:
+                        raise ValueError(f"vector {vec_id} is too long for scores of 64 bits")
                     ids.append(vec_id)
-                    out.append(np.floor(scale * x).astype("<i8").tobytes())
+                    out.append(x.astype("<i8").tobytes())
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(out, pa.binary())], ["vec_id", "v"])
 
     rows = vectors.filter("vec_id IS NOT NULL AND embedding IS NOT NULL").select(
@@ -83,7 +93,7 @@ class Index:
         self.width = (self.most - self.least) // LEVELS + 1
         level = (np.take_along_axis(x.T, self.order.astype(np.int64), axis=1) - self.least[:, None]) // self.width[:, None]
         edges = np.arange(LEVELS + 1)
-        self.starts = np.stack([np.searchsorted(row, edges) for row in level]).reshape(dims, LEVELS + 1)
+        self.starts = np.array([np.searchsorted(row, edges) for row in level], np.int64).reshape(dims, LEVELS + 1)
 
     def bytes(self) -> dict[str, bytes]:
         return {k: np.ascontiguousarray(getattr(self, k)).tobytes() for k in ("ids", "x", "order", "starts")}
@@ -113,27 +123,30 @@ class Index:
         sizes = np.diff(self.starts, axis=1)
         order = np.argsort(-gain, axis=None, kind="stable")
         done = np.cumsum(sizes.ravel()[order])
-        stop = int(np.searchsorted(done, PROCESSED * n * dims)) + 1
-        taken, left = order[:stop], np.ones(dims * LEVELS, bool)
-        left[taken] = False
-        rest = np.where(left.reshape(dims, LEVELS) & (sizes > 0), gain, 0).max(axis=1, initial=0)
-        beyond = gain - rest[:, None]
-        score = np.zeros(n, np.int64)
-        for d, level in zip(*(a.tolist() for a in np.divmod(taken, LEVELS))):
-            a, b = self.starts[d, level], self.starts[d, level + 1]
-            if b > a:
-                score[self.order[d, a:b]] += beyond[d, level]
         own = self.ids == query_id
-        score[own] = np.iinfo(np.int64).min // 2
-        floor = int(np.where(up, q * self.least, q * self.most).sum() + rest.sum())
-        m = min(n, max(k, PROBED))
-        probed = np.argpartition(-score, m - 1)[:m]
-        probed = probed[~own[probed]]
-        exact = self.x[probed] @ q
         possible = np.flatnonzero(~own)
-        if len(exact) >= k:
+        for share in LOOKS:
+            taken = order[: int(np.searchsorted(done, share * n * dims)) + 1]
+            left = np.ones(dims * LEVELS, bool)
+            left[taken] = False
+            rest = np.where(left.reshape(dims, LEVELS) & (sizes > 0), gain, 0).max(axis=1, initial=0)
+            beyond = gain - rest[:, None]
+            score = np.zeros(n, np.int64)
+            for d, level in zip(*(a.tolist() for a in np.divmod(taken, LEVELS))):
+                a, b = self.starts[d, level], self.starts[d, level + 1]
+                if b > a:
+                    score[self.order[d, a:b]] += beyond[d, level]
+            score[own] = np.iinfo(np.int64).min // 2
+            floor = int(np.where(up, q * self.least, q * self.most).sum() + rest.sum())
+            m = min(n, max(k, PROBED))
+            probed = np.argpartition(-score, m - 1)[:m]
+            exact = self.x[probed[~own[probed]]] @ q
+            if len(exact) < k:
+                break
             threshold = np.partition(exact, len(exact) - k)[len(exact) - k]
             possible = np.flatnonzero((score + floor >= threshold) & ~own)
+            if len(possible) <= PROVEN * n:
+                break
         exact = self.x[possible] @ q
         top = np.lexsort((self.ids[possible], -exact))[:k]
         return self.ids[possible[top]], exact[top]

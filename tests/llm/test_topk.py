@@ -56,3 +56,25 @@ def test_few_rows_and_empty_table(spark):
     assert topk.search(empty).count() == 0
     two = spark.createDataFrame([(0, [1.0], "", 1), (1, [2.0], "", 1)], SCHEMA)
     assert [tuple(r) for r in topk.search(two).collect()] == [(0, 1, 1, 1024 * 2048)]
+
+
+def test_stops_when_proven():
+    """A query whose best are far ahead stops early, one among equals reads on."""
+    rng = np.random.default_rng(5)
+    x = np.floor(1024 * rng.normal(size=(4000, 16))).astype(np.int64)
+    x[:40] = 40 * x[0]
+    index = topk.Index(np.arange(4000), x)
+    want = sorted((-int(s), i) for i, s in enumerate(x @ x[1]) if i != 1)[:10]
+    for looks in (topk.LOOKS, (0.5,), (0.01, 1.0)):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(topk, "LOOKS", looks)
+            ids, scores = index.best(1, x[1], 10)
+            assert [(-s, i) for i, s in zip(ids.tolist(), scores.tolist())] == want
+
+
+def test_only_empty_vectors_and_too_long_ones(spark):
+    empty = spark.createDataFrame([(0, [], "", 1), (1, [], "", 1)], SCHEMA)
+    assert [tuple(r) for r in topk.search(empty).collect()] == [(0, 1, 1, 0)]
+    long = spark.createDataFrame([(0, [1e13, 1.0], "", 1), (1, [-1e13, 1.0], "", 1)], SCHEMA)
+    with pytest.raises(Exception, match="too long"):
+        topk.search(long).collect()
