@@ -85,3 +85,20 @@ def test_shards_and_empty_table(spark):
     mix = mixing.mixed(frame, shards=4)
     rows = mixing.shard_rows(mix).collect()
     assert sum(r.words for r in rows) == sum(r.taken for r in mix.collect())
+
+
+def test_draws_by_inversion_follow_the_law():
+    """Against numpy's draws where it has them, and exact moments where it has none."""
+    rng = np.random.default_rng(4)
+    got = np.array([mixing.by_inversion(rng, 30, 20, 12) for _ in range(20_000)])
+    want = rng.hypergeometric(30, 20, 12, 20_000)
+    for k in range(13):
+        assert abs((got == k).mean() - (want == k).mean()) < 0.015
+    assert mixing.by_inversion(rng, 5, 0, 3) == 3 and mixing.by_inversion(rng, 0, 5, 3) == 0
+    count, others, n = 3 * 10**10, 10**10, 10**9
+    got = np.array([mixing.by_inversion(rng, count, others, n) for _ in range(3000)])
+    total = count + others
+    spread = (n * (count / total) * (others / total) * (total - n) / (total - 1)) ** 0.5
+    assert abs(got.mean() - n * 0.75) < 4 * spread / 3000**0.5
+    assert abs(got.std() / spread - 1) < 0.06
+    assert abs((got > n * 0.75 + spread).mean() - 0.1587) < 0.03
