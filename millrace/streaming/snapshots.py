@@ -14,6 +14,7 @@ from millrace.operators.eventlog import (
     SNAPSHOT_EVERY,
     contributions,
 )
+from millrace.streaming.windows import WATERMARK
 
 _STATE = (
     "n BIGINT, status STRING, customer_id STRING, total DOUBLE, currency STRING, "
@@ -24,27 +25,30 @@ _STATE = (
 _NEW = {"status": "CREATED", "customer_id": "", "total": 0.0, "currency": DEFAULT_CURRENCY}
 
 
-def _snapshots(every: int) -> StatefulProcessor:
+# Statuses after which an order has no further events.
+FINISHED = ("DELIVERED", "CANCELLED")
+
+
+def _snapshots(every: int, keep_ms: int | None) -> StatefulProcessor:
     """Keeps the state of one order and emits it after every n-th event.
 
     The state is one small row per order. Events of a micro-batch are taken in the
     order of their offsets, whatever the order of the shuffle. Made inside a function
     so that it travels to the workers by value.
     """
-    names, new = ATTRIBUTES, _NEW
+    names, new, finished = ATTRIBUTES, _NEW, FINISHED
 
     class Snapshots(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
+            self._handle = handle
             self._order = handle.getValueState("order", _STATE)
 
         def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
             stored = self._order.get()
-            if stored is None:
-                n, current = 0, dict.fromkeys(names)
-            else:
-                n, current = stored[0], dict(zip(names, stored[1:]))
+            n, current = (0, dict.fromkeys(names)) if stored is None else (stored[0], dict(zip(names, stored[1:])))
+            at = 0
             for row in sorted(rows, key=lambda r: (r["partition"], r["offset"])):
-                n += 1
+                n, at = n + 1, row["at_ms"]
                 current.update({a: row[a] for a in names if row[a] is not None})
                 if n % every == 0:
                     shown = {a: new.get(a) if v is None else v for a, v in current.items()}
@@ -57,6 +61,15 @@ def _snapshots(every: int) -> StatefulProcessor:
                         **shown,
                     )
             self._order.update((n, *[current[a] for a in names]))
+            if keep_ms is not None:
+                for due in list(self._handle.listTimers()):
+                    self._handle.deleteTimer(due)
+                if current["status"] in finished:
+                    self._handle.registerTimer(at + keep_ms)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+            self._order.clear()
+            return iter(())
 
         def close(self) -> None:
             pass
@@ -64,16 +77,27 @@ def _snapshots(every: int) -> StatefulProcessor:
     return Snapshots()
 
 
-def snapshot_stream(events: DataFrame, every: int = SNAPSHOT_EVERY) -> DataFrame:
-    """Snapshots as the events arrive; the same rows the batch form computes."""
-    rows = contributions(events)
+def snapshot_stream(
+    events: DataFrame,
+    every: int = SNAPSHOT_EVERY,
+    keep_seconds: int | None = None,
+    watermark: str = WATERMARK,
+) -> DataFrame:
+    """Snapshots as the events arrive; the same rows the batch form computes.
+
+    With ``keep_seconds``, a delivered or cancelled order leaves the state when event time
+    is that much past its last event; events must then come within the watermark.
+    """
+    rows = contributions(events).withColumn("at_ms", F.unix_millis("occurred_at"))
+    if keep_seconds is not None:
+        rows = rows.withWatermark("occurred_at", watermark)
     kept = ["order_id", "partition", "offset", "version"]
     output = rows.select(
         *kept, F.col("occurred_at").alias("snapshot_at"), *ATTRIBUTES
     ).schema
     return rows.groupBy("order_id").transformWithState(
-        statefulProcessor=_snapshots(every),
+        statefulProcessor=_snapshots(every, None if keep_seconds is None else keep_seconds * 1000),
         outputStructType=output,
         outputMode="Append",
-        timeMode="None",
+        timeMode="None" if keep_seconds is None else "EventTime",
     )

@@ -15,6 +15,7 @@ from millrace.streaming import sinks
 from millrace.streaming import stock as ledger
 from millrace.streaming.joins import paid_items
 from millrace.streaming.orchestrator import saga_commands
+from millrace.streaming.snapshots import snapshot_stream
 
 LOG = (
     "order_id BIGINT, partition INT, offset BIGINT, version INT, event_type STRING, occurred_at TIMESTAMP, "
@@ -179,6 +180,29 @@ def test_finished_sagas_leave_the_state(spark, tmp_path):
     assert {r.key.order_id for r in keys.collect()} == {9}
 
 
+def test_finished_orders_leave_the_state_of_snapshots(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    start = datetime(2024, 1, 1)
+
+    def event(order, offset, kind, hours, batch):
+        row = (order, 0, offset, offset + 1, kind, start + timedelta(hours=hours), "c", 1.0, "EUR", "t", "r", "n", "x")
+        return (*row, batch)
+
+    rows = [event(1, i, k, 0, 0) for i, k in enumerate(KINDS)]  # cancelled by its fifth event
+    rows += [event(2, i, k, 0, 0) for i, k in enumerate(KINDS[:4])] + [event(2, 4, "OrderShipped", 1, 1)]
+    rows += [event(3, 0, "OrderCreated", 200, 2)]
+    frame = spark.createDataFrame(rows, LOG + ", b INT")
+    for stream in inputs.arriving(frame, F.col("b"), 3, f"{tmp_path}/e"):
+        query = sinks.append_table(
+            snapshot_stream(stream, keep_seconds=3600), f"{tmp_path}/t", f"{tmp_path}/ck", every=None
+        )
+        query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/t").collect()
+    assert sorted((r.order_id, r.version, r.status) for r in got) == [(1, 5, "CANCELLED"), (2, 5, "SHIPPED")]
+    left = spark.read.format("statestore").option("stateVarName", "order").load(f"{tmp_path}/ck").collect()
+    assert {r.key.order_id for r in left} == {2, 3}  # shipped and new ones still have events to come
+
+
 def test_waits_until_any_query_ends(spark, tmp_path):
     spark.streams.resetTerminated()
     endless = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
