@@ -20,6 +20,11 @@ FILE_TRIGGER = "30 seconds"
 TOPIC_TRIGGER = "5 seconds"
 
 
+ROWS_PER_FILE = 5_000_000
+#: Folders of several files whose names are broadcast; beyond, they are joined by shuffle.
+BUSY_TO_BROADCAST = 100_000
+
+
 def with_trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """Fixed interval, or (None) everything available now and then stop.
 
@@ -154,14 +159,40 @@ def time_partitioned(
 
 
 def write_time_partitioned(
-    df: DataFrame, target: str, ts: str = "kafka_ts", by: tuple[str, ...] = ("topic",)
+    df: DataFrame,
+    target: str,
+    ts: str = "kafka_ts",
+    by: tuple[str, ...] = ("topic",),
+    rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
-    """The same layout in batch. The rebalance hint gathers the rows of a folder so that
-    files are few, and lets AQE split a busy hour and join quiet ones, by their size."""
+    """The same layout in batch, in files of at most about ``rows_per_file`` rows.
+
+    The rows of each folder are counted first, from the columns that name it alone. A
+    folder goes to one task, a busy one in slices to as many as it has files, so tasks are
+    of like size and files few. Rows without a time go to the folder of null values.
+    """
     folders = [*by, "year", "month", "day", "hour"]
+    placed = time_partitions(df, ts)
+    slices = F.ceil(F.count("*") / rows_per_file).cast("int").alias("_slices")
+    sizes = placed.groupBy(*folders).agg(slices, F.count("*").alias("_rows"))
+    rows, files, n_busy = sizes.agg(F.sum("_rows"), F.sum("_slices"), F.count_if(F.col("_slices") > 1)).first()
+    # Enough tasks for the rows, and for all cores where the folders are small.
+    tasks = max((rows or 0) // rows_per_file + 1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    if n_busy:
+        busy = sizes.filter("_slices > 1").select(*[F.col(c).alias(f"_{c}") for c in folders], "_slices")
+        same = F.lit(True)
+        for c in folders:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+        # A row for each rows_per_file rows at most.
+        busy = F.broadcast(busy) if n_busy <= BUSY_TO_BROADCAST else busy
+        everything = F.xxhash64(*[c for c, kind in df.dtypes if "map<" not in kind])
+        placed = placed.join(busy, same, "left").withColumn("_slice", F.pmod(everything, F.coalesce("_slices", F.lit(1))))
+        placed = placed.drop("_slices", *[f"_{c}" for c in folders])
+    else:
+        placed = placed.withColumn("_slice", F.lit(0))
     (
-        time_partitions(df, ts)
-        .hint("rebalance", *folders)
+        placed.repartition(min(files or 1, tasks), *folders, "_slice")
+        .drop("_slice")
         .write.partitionBy(*folders)
         .mode("append")
         .parquet(target)

@@ -244,3 +244,14 @@ def test_partition_folders_and_inventory(spark, tmp_path):
     files = file_inventory(spark, str(tmp_path / "t"))
     assert files.agg(F.sum("n_rows")).first()[0] == 30
     assert peek_newest(spark, str(tmp_path / "t")).count() == 1
+
+
+def test_busy_hours_are_cut_into_files(spark, tmp_path):
+    """One hour with most rows, others with few, and rows without a time."""
+    rows = [(i, "t", datetime(2024, 1, 1, 5 if i < 900 else i % 24)) for i in range(1000)] + [(2000, "t", None)]
+    df = spark.createDataFrame(rows, "offset BIGINT, topic STRING, kafka_ts TIMESTAMP")
+    write_time_partitioned(df, str(tmp_path / "t"), rows_per_file=100)
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    busy = [f for f in files if "hour=05" in str(f)]
+    assert 5 <= len(busy) <= 10 and len(files) <= 24 + len(busy)
+    assert sorted(r.offset for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [r[0] for r in rows]
