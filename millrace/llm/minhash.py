@@ -330,7 +330,7 @@ def signature_links(nodes: DataFrame) -> DataFrame:
     return compared(members, values, Signatures, BUCKET_BLOCK, BUCKET_BLOCK)
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``(node, value)``: the shingle sets of the documents that ``wanted`` names."""
     marks = docs.sparkSession.sparkContext.broadcast(bit_map(wanted.select(F.xxhash64("node").alias("h")), "h"))
 
@@ -382,7 +382,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
         ),
         "minhash-members",
     )
-    values = stored(_sets(docs, members.select("node"), words), "minhash-sets")
+    values = stored(shingle_sets(docs, members.select("node"), words), "minhash-sets")
     grouped = components(compared(members, values, sets_within(percent), GROUP_BLOCK, SHINGLE_BLOCK))
     named = nodes.join(grouped, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("class"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("class", "doc_id"))

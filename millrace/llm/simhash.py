@@ -18,7 +18,8 @@
 5. Components come from star rounds over those links.
 
 ``similar_groups`` takes such links, and common bands of least hashes, for proposals only:
-it compares the shingle sets of all documents that proposals connect.
+it compares the shingle sets of the documents that proposals connect, in a large group first
+with its smallest member, so that copies near to that one need no comparison with each other.
 """
 
 from __future__ import annotations
@@ -36,18 +37,21 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import stored
 from millrace.llm.components import components
-from millrace.llm.linededup import MAP_BITS, bit_map
+from millrace.llm.minhash import compared, sets_within, shingle_sets
 
 BITS = 64
 #: Members of a bucket that are compared in one run; larger buckets are cut.
 BLOCK = 4096
+#: Rows of a node at most, its own buckets and probes; and in the pipeline, where the bound
+#: of eight bits needs more of them to keep the buckets small, exactly as many for any input.
+PROBE_ROWS, PIPELINE_ROWS = 128, 64
 #: Shingles hashed at a time, which bounds the memory a long text takes.
 HASHES_AT_ONCE = 1 << 16
 
 #: Bands of least hashes, and hashes in a band: two sets with a Jaccard similarity of 0.8
 #: have no band in common with a probability of 0.0004.
 BANDS, IN_BAND = 20, 5
-#: Documents and shingles of a group that are compared in one run; larger groups are cut.
+#: Documents and shingles of a group in one block; larger groups are cut.
 GROUP_BLOCK, SHINGLE_BLOCK = 1024, 1 << 19
 
 _SET = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
@@ -200,12 +204,14 @@ def grouped_bits(correlation: np.ndarray, m: int) -> list[tuple[int, ...]]:
     return groups
 
 
-def plan(n: int, counts: np.ndarray, max_bits: int) -> list[Partition]:
+def plan(n: int, counts: np.ndarray, max_bits: int, rows: int | None = None) -> list[Partition]:
     """Partitions and thresholds with the least estimated cost.
 
     Cost of a partition at threshold t: its probe rows, plus candidate pairs at a
     hundredth of a row each, as they are only compared in numpy. Pairs are estimated from
-    the share of set bits, as if the bits of a partition were independent.
+    the share of set bits, as if the bits of a partition were independent. A node has
+    ``PROBE_ROWS`` rows at most. With ``rows`` it has so many at most, and the candidates
+    alone count, so the rows of a node are as many for any number of nodes.
     """
     n = max(n, 1)
     p = np.diag(counts) / n
@@ -213,40 +219,35 @@ def plan(n: int, counts: np.ndarray, max_bits: int) -> list[Partition]:
     correlation = (counts / n - np.outer(p, p)) / np.outer(spread, spread)
     np.fill_diagonal(correlation, 0)
     differ = 2 * p * (1 - p)
+    most, per_row = (PROBE_ROWS, n) if rows is None else (rows, 0)
     best: tuple[float, list[Partition]] = (float("inf"), [])
     for m in range(1, max_bits + 2):
         groups = grouped_bits(correlation, m)
-        costs = []
+        # least[s, r]: cheapest thresholds of the groups so far whose t + 1 add up to s and
+        # which take r rows a node
+        least: dict[tuple[int, int], tuple[float, list[int]]] = {(0, 0): (0.0, [])}
         for group in groups:
             within = np.zeros(max_bits + 1)
             within[0] = 1
             for b in group:
                 within[1:] = within[1:] * (1 - differ[b]) + within[:-1] * differ[b]
                 within[0] *= 1 - differ[b]
-            costs.append(
-                [0.0]
-                + [
-                    n * sum(comb(len(group), k) for k in range(t + 1))
-                    + 0.01 * n * n * within[: t + 1].sum()
-                    for t in range(max_bits + 1)
-                ]
-            )
-        # least[s]: cheapest thresholds of the groups so far whose t + 1 add up to s
-        total = max_bits + 1
-        least: list[tuple[float, list[int]]] = [(0.0, [])] + [(float("inf"), [])] * total
-        for cost in costs:
-            least = [
-                min(
-                    ((least[s - u][0] + cost[u], least[s - u][1] + [u - 1]) for u in range(s + 1)),
-                    key=lambda x: x[0],
-                )
-                for s in range(total + 1)
-            ]
-        if least[total][0] < best[0]:
-            best = (
-                least[total][0],
-                [Partition(g, t) for g, t in zip(groups, least[total][1]) if t >= 0],
-            )
+            pairs = 0.01 * n * n * np.cumsum(within)
+            probes = np.cumsum([comb(len(group), k) for k in range(max_bits + 1)])
+            found: dict[tuple[int, int], tuple[float, list[int]]] = {}
+            for (s, r), (cost, chosen) in least.items():
+                for t in range(-1, max_bits - s + 1):
+                    more = int(probes[t]) if t >= 0 else 0
+                    if r + more > most:
+                        break
+                    total = cost + (float(pairs[t]) + per_row * more if t >= 0 else 0.0)
+                    at = (s + t + 1, r + more)
+                    if at not in found or total < found[at][0]:
+                        found[at] = (total, [*chosen, t])
+            least = found
+        for (s, _), (cost, chosen) in least.items():
+            if s == max_bits + 1 and cost < best[0]:
+                best = (cost, [Partition(g, t) for g, t in zip(groups, chosen) if t >= 0])
     return best[1]
 
 
@@ -329,13 +330,13 @@ def _bucket_links(max_bits: int, max_wide: int):
     return run
 
 
-def links(nodes: DataFrame, max_bits: int, max_wide: int = 0) -> DataFrame:
+def links(nodes: DataFrame, max_bits: int, max_wide: int = 0, rows: int | None = None) -> DataFrame:
     """``(a, b)``: links that connect all nodes within ``max_bits``, by node id.
 
     ``nodes``: ``(node, fp, fp2)`` with distinct fingerprints. With ``max_wide``, the
-    two fingerprints together may differ by so many bits at most.
+    two fingerprints together may differ by so many bits at most. ``rows``: see ``plan``.
     """
-    parts = plan(*joint_counts(nodes), max_bits)
+    parts = plan(*joint_counts(nodes), max_bits, rows)
 
     def signed(x: int) -> int:
         return x - (1 << 64) if x >> 63 else x
@@ -465,107 +466,7 @@ def _proposed(nodes: DataFrame, max_bits: int, max_wide: int) -> DataFrame:
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1")
     banded = keys.join(shared, "key").select(F.col("node").alias("a"), "b")
-    return links(prints.drop("n"), max_bits, max_wide).union(same).union(banded).filter("a <> b")
-
-
-def _similar_forest(
-    nodes: list[int], sets: list[np.ndarray], similarity: float
-) -> list[tuple[int, int]]:
-    """A spanning forest of the pairs whose Jaccard similarity is high enough: each member
-    found takes its neighbours among those not yet found. Overlaps with all members are
-    counted at once, by the lists of members that each shingle has."""
-    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
-    ends = np.cumsum(sizes)
-    ids = np.unique(np.concatenate(sets), return_inverse=True)[1].reshape(-1)
-    owners = np.repeat(np.arange(len(sets)), sizes)[np.argsort(ids, kind="stable")]
-    length = np.bincount(ids)
-    start = np.cumsum(length) - length
-    found: list[tuple[int, int]] = []
-    rest = np.ones(len(sets), bool)
-    for first in range(len(sets)):
-        if not rest[first]:
-            continue
-        frontier, rest[first] = [first], False
-        while frontier and rest.any():
-            x = frontier.pop()
-            mine = ids[ends[x] - sizes[x] : ends[x]]
-            n = length[mine]
-            at = np.repeat(start[mine] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            overlap = np.bincount(owners[at], minlength=len(sets))
-            hit = rest & (overlap >= similarity * (sizes[x] + sizes - overlap) - 1e-9)
-            near = np.flatnonzero(hit).tolist()
-            found += [(nodes[x], nodes[y]) for y in near]
-            frontier += near
-            rest[near] = False
-    return found
-
-
-def _verified(docs: DataFrame, nodes: DataFrame, groups: DataFrame, words: int, similarity: float):
-    """``(a, b)``: links that connect the members of each group whose shingle sets are
-    similar. A run reads one group, or two blocks of a large one; all pairs of blocks meet."""
-    spark = docs.sparkSession
-    placed = nodes.select("node", "size").join(groups, "node")
-    totals = placed.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
-    blocks = F.greatest(F.ceil(F.col("n") / GROUP_BLOCK), F.ceil(F.col("size") / SHINGLE_BLOCK))
-    dealt = placed.select("node", "component").join(
-        totals.select("component", F.greatest(blocks, F.lit(1)).cast("bigint").alias("blocks")), "component"
-    )
-    dealt = stored(dealt, "members")
-    wanted = spark.sparkContext.broadcast(bit_map(dealt.select(F.xxhash64("node").alias("h")), "h"))
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.frombuffer(wanted.value, np.uint8)
-        for batch in batches:
-            bit = batch.column("h").to_numpy(zero_copy_only=False) & (MAP_BITS - 1)
-            yield batch.filter(pa.array(cells[bit >> 3] >> (bit & 7) & 1 == 1)).drop_columns(["h"])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                made = [shingle_set(t.as_py(), words).tobytes() for t in part.column("text")]
-                yield part.drop_columns(["text"]).append_column("shingles", pa.array(made, pa.binary()))
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, members, held = None, [], []
-
-        def pairs() -> list[tuple[int, int]]:
-            return _similar_forest(members, held, similarity) if len(members) > 1 else []
-
-        for batch in batches:
-            out = []
-            columns = [batch.column(c).to_pylist() for c in ("component", "block", "node")]
-            for *key, node, raw in zip(*columns, batch.column("shingles")):
-                if key != now:
-                    out += pairs()
-                    now, members, held = key, [], []
-                members.append(node)
-                held.append(np.frombuffer(raw.as_py(), np.uint64))
-            if out:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
-        if out := pairs():
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
-
-    ids = F.col("doc_id").cast("bigint")
-    texts = docs.filter("doc_id IS NOT NULL").select(
-        ids.alias("node"), F.xxhash64(ids).alias("h"), "text"
-    )
-    n = F.col("blocks")
-    mine = F.pmod(F.xxhash64("node"), n)
-    spread = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), n - 1),
-        lambda other: F.least(mine, other) * n + F.greatest(mine, other),
-    )
-    rows = (
-        texts.mapInArrow(chosen, "node bigint, text string")
-        .join(dealt, "node")
-        .mapInArrow(sets, "node bigint, component bigint, blocks bigint, shingles binary")
-        .withColumn("block", F.explode(spread))
-        .select("component", "block", "node", "shingles")
-        .repartition("component", "block")
-        .sortWithinPartitions("component", "block")
-    )
-    return rows.mapInArrow(compared, "a bigint, b bigint")
+    return links(prints.drop("n"), max_bits, max_wide, PIPELINE_ROWS).union(same).union(banded).filter("a <> b")
 
 
 def similar_groups(
@@ -588,8 +489,15 @@ def similar_groups(
         ),
         "nodes",
     )
-    groups = components(_proposed(nodes, max_bits, max_wide))
-    grouped = components(_verified(docs, nodes, groups, words, similarity))
+    groups = stored(components(_proposed(nodes, max_bits, max_wide)), "proposed-groups")
+    placed = nodes.select("node", "size").join(groups, "node")
+    totals = placed.groupBy("component").agg(F.count("*").alias("n"), F.sum("size").alias("total"))
+    first = F.col("component").alias("first")
+    members = placed.join(totals, "component").select(F.col("component").alias("g"), "node", first, "n", "total", "size")
+    members = stored(members, "proposed-members")
+    values = stored(shingle_sets(docs, members.select("node"), words), "shingle-sets")
+    kind = sets_within(round(100 * similarity))
+    grouped = components(compared(members, values, kind, GROUP_BLOCK, SHINGLE_BLOCK))
     named = nodes.join(grouped, "node", "left").select(
         "s1", "s2", F.coalesce("component", "node").alias("component_id")
     )
