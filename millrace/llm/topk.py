@@ -34,7 +34,7 @@ LEVELS = 32
 #: Shares of the postings after which a query looks for a proof; the last one is all of them.
 LOOKS = (0.75, 0.9, 1.0)
 #: Share of a shard that may be possible members when the proof counts as found.
-PROVEN = 1 / 32
+PROVEN = 1 / 8
 #: Squared length of a vector of whole numbers; below it no score leaves 64 bits.
 LONGEST = 1 << 58
 #: Vectors with the best accumulators whose exact scores give the threshold.
