@@ -19,6 +19,7 @@ from millrace.sources.envelope import file_stream
 from millrace.streaming import stock as stock_ledger
 from millrace.streaming.dashboard import dashboard_stream, read_dashboard
 from millrace.streaming.joins import paid_items
+from millrace.streaming.keyed import BUCKETS
 from millrace.streaming.orchestrator import saga_commands
 from millrace.streaming.sinks import append_table
 from millrace.streaming.snapshots import snapshot_stream
@@ -533,7 +534,7 @@ def saga_commands_streamed(spark: SparkSession, folder: str) -> DataFrame:
     work = work_folder(spark, "orchestrator")
     events = _saga_events(table(spark, folder, "orders"))
     for stream in inputs.arriving(events, F.col("batch"), 5, f"{work}/events"):
-        commands = saga_commands(stream, timeout_seconds=90 * 60)
+        commands = saga_commands(stream, timeout_seconds=90 * 60, buckets=BUCKETS)
         append_table(commands, f"{work}/commands", f"{work}/checkpoint", every=None).awaitTermination()
     return plain_times(spark.read.parquet(f"{work}/commands"))
 
