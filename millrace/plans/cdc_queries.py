@@ -13,6 +13,7 @@ from millrace.plans.inputs import table, table_stream
 from millrace.plans.registry import drained, plain_times, query
 from millrace.runtime import ROCKSDB_PROVIDER, work_folder
 from millrace.streaming import dedup
+from millrace.streaming.keyed import BUCKETS
 from millrace.streaming.upsert import compact, read_current, read_state, upsert_stream
 
 _OP = "CASE event_type WHEN 'signup' THEN 'c' WHEN 'view' THEN 'r' WHEN 'error' THEN 'd' ELSE 'u' END"
@@ -59,7 +60,7 @@ def cdc_versions_custom_state(spark: SparkSession, folder: str) -> DataFrame:
     """Custom state with a time to live, keyed by order and update time."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     changes = inputs.cdc_log(duplicated(table_stream(spark, folder, "events")))
-    once = dedup.first_with_ttl(changes, ["order_id", "kafka_ts"], ttl_ms=3_600_000)
+    once = dedup.first_with_ttl(changes, ["order_id", "kafka_ts"], ttl_ms=3_600_000, buckets=BUCKETS)
     # State with processing-time expiry asks for one more batch for ever; a run that
     # is to stop must not be given batches without data.
     spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")

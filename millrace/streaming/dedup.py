@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions.cdc import event_time
+from millrace.streaming.keyed import with_state
 from millrace.streaming.windows import WATERMARK
 
 
@@ -53,36 +53,22 @@ def once_within_watermark(
     return events.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(keys)
 
 
-def _first_only(ttl_ms: int) -> StatefulProcessor:
+def _first_only(ttl_ms: int) -> Callable:
     """Emits the first row of a key and remembers the key for some time.
 
     Made inside a function so that it travels to the workers by value.
     """
 
-    class FirstOnly(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self._seen = handle.getValueState("seen", "seen BOOLEAN", ttl_ms)
-
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-            # The iterator has to be read to its end even when the key is known.
-            first = None
-            for row in rows:
-                first = first or row
-            if not self._seen.exists():
-                self._seen.update((True,))
-                yield first
-
-        def close(self) -> None:
-            pass
-
-    return FirstOnly()
-
-
-def first_with_ttl(df: DataFrame, keys: list[str], ttl_ms: int) -> DataFrame:
-    """Custom-state form: a key counts as seen for ``ttl_ms`` of processing time."""
-    return df.groupBy(*keys).transformWithState(
-        statefulProcessor=_first_only(ttl_ms),
-        outputStructType=df.schema,
-        outputMode="Append",
-        timeMode="ProcessingTime",
-    )
+    def step(key, seen, due, rows, now):
+        if seen:
+            return seen, due
+        yield tuple(rows[0])
+        return True, now + ttl_ms
+
+    return step
+
+
+def first_with_ttl(df: DataFrame, keys: list[str], ttl_ms: int, buckets: int | None = None) -> DataFrame:
+    """Custom-state form: a key counts as seen for ``ttl_ms`` of processing time. With
+    ``buckets`` many keys share an entry of the state, see ``keyed``."""
+    return with_state(df, keys, _first_only(ttl_ms), df.schema, "seen", ttl_ms=ttl_ms, buckets=buckets)
