@@ -476,7 +476,7 @@ def orders_per_day_and_status_streamed(spark: SparkSession, folder: str) -> Data
     log = stored(_log(spark, folder), "dashboard-log")
     third = F.floor((F.col("offset") - 1) * 3 / log.count())
     for stream in inputs.arriving(log, F.greatest(F.lit(0), F.least(F.lit(2), third)), 3, f"{work}/log"):
-        dashboard_stream(stream, f"{work}/table", f"{work}/checkpoint", every=None).awaitTermination()
+        dashboard_stream(stream, f"{work}/table", f"{work}/checkpoint", every=None, buckets=BUCKETS).awaitTermination()
     return read_dashboard(spark, f"{work}/table")
 
 

@@ -2,51 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.eventlog import contributions
+from millrace.streaming.keyed import with_state
 from millrace.streaming.sinks import FILE_TRIGGER, with_trigger
 
 _CHANGE = "day DATE, status STRING, n INT"
 
 
-def _moves() -> StatefulProcessor:
+def _moves() -> Callable:
     """Remembers the cell of an order. When it moves, it is taken out of its old cell and
     put into the new one. Made inside a function so that it travels to the workers by value."""
 
-    class Moves(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self._cell = handle.getValueState("cell", "partition INT, offset BIGINT, day DATE, status STRING")
-
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-            old = tuple(self._cell.get()) if self._cell.exists() else None
-            new = old
-            for row in sorted(rows, key=lambda r: (r["partition"], r["offset"])):
-                place = (row["partition"], row["offset"])
-                if new is not None and place <= tuple(new[:2]):
-                    continue  # delivered again
-                status = row["status"] or (new[3] if new else "CREATED")
-                new = (*place, row["day"], status)
-            if new is old:
-                return
-            self._cell.update(new)
-            if old is not None and old[2:] == new[2:]:
-                return
+    def step(key, old, due, rows, now):
+        new = old
+        for row in sorted(rows, key=lambda r: (r.partition, r.offset)):
+            place = (row.partition, row.offset)
+            if new is not None and place <= new[:2]:
+                continue  # delivered again
+            status = row.status or (new[3] if new else "CREATED")
+            new = (*place, row.day, status)
+        if old is None or old[2:] != new[2:]:
             if old is not None:
-                yield Row(day=old[2], status=old[3], n=-1)
-            yield Row(day=new[2], status=new[3], n=1)
+                yield old[2], old[3], -1
+            yield new[2], new[3], 1
+        return new, None
 
-        def close(self) -> None:
-            pass
+    return step
 
-    return Moves()
 
-
-def dashboard_changes(events: DataFrame) -> DataFrame:
+def dashboard_changes(events: DataFrame, buckets: int | None = None) -> DataFrame:
     """``day, status, n``: 1 for an order that enters a cell, -1 for one that leaves it."""
     rows = contributions(events).select(
         "order_id",
@@ -55,13 +45,15 @@ def dashboard_changes(events: DataFrame) -> DataFrame:
         F.to_date("occurred_at").alias("day"),
         "status",
     )
-    return rows.groupBy("order_id").transformWithState(
-        statefulProcessor=_moves(), outputStructType=_CHANGE, outputMode="Append", timeMode="None"
-    )
+    return with_state(rows, ["order_id"], _moves(), _CHANGE, "cell", buckets=buckets)
 
 
 def dashboard_stream(
-    events: DataFrame, table: str, checkpoint: str, every: str | None = FILE_TRIGGER
+    events: DataFrame,
+    table: str,
+    checkpoint: str,
+    every: str | None = FILE_TRIGGER,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Stores what each micro-batch changes, one row for each cell it touches. A batch that
     runs again replaces its own rows."""
@@ -70,7 +62,7 @@ def dashboard_stream(
         changed = batch.groupBy("day", "status").agg(F.sum("n").alias("n")).filter("n <> 0")
         changed.write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
-    writer = dashboard_changes(events).writeStream.foreachBatch(write)
+    writer = dashboard_changes(events, buckets).writeStream.foreachBatch(write)
     return with_trigger(writer.option("checkpointLocation", checkpoint), every).start()
 
 
