@@ -396,7 +396,7 @@ def order_snapshots_streamed(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{work_folder(spark, 'log')}/events"
     log = _log(spark, folder)
     log.write.parquet(path)
-    stream = snapshot_stream(file_stream(spark, path, log.schema))
+    stream = snapshot_stream(file_stream(spark, path, log.schema), buckets=BUCKETS)
     return plain_times(drained(stream, "snapshots").drop("partition"))
 
 

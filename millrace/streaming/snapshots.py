@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.operators.eventlog import (
     ATTRIBUTES,
@@ -14,13 +13,9 @@ from millrace.operators.eventlog import (
     SNAPSHOT_EVERY,
     contributions,
 )
+from millrace.streaming.keyed import with_state
 from millrace.streaming.windows import WATERMARK
 
-_STATE = (
-    "n BIGINT, status STRING, customer_id STRING, total DOUBLE, currency STRING, "
-    "transaction_id STRING, reservation_id STRING, tracking_number STRING, "
-    "cancel_reason STRING"
-)
 # Fixed values of a new order.
 _NEW = {"status": "CREATED", "customer_id": "", "total": 0.0, "currency": DEFAULT_CURRENCY}
 
@@ -29,7 +24,7 @@ _NEW = {"status": "CREATED", "customer_id": "", "total": 0.0, "currency": DEFAUL
 FINISHED = ("DELIVERED", "CANCELLED")
 
 
-def _snapshots(every: int, keep_ms: int | None) -> StatefulProcessor:
+def _snapshots(every: int, keep_ms: int | None) -> tuple[Callable, Callable]:
     """Keeps the state of one order and emits it after every n-th event.
 
     The state is one small row per order. Events of a micro-batch are taken in the
@@ -38,43 +33,26 @@ def _snapshots(every: int, keep_ms: int | None) -> StatefulProcessor:
     """
     names, new, finished = ATTRIBUTES, _NEW, FINISHED
 
-    class Snapshots(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            self._handle = handle
-            self._order = handle.getValueState("order", _STATE)
-
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[Row]:
-            stored = self._order.get()
-            n, current = (0, dict.fromkeys(names)) if stored is None else (stored[0], dict(zip(names, stored[1:])))
-            at = 0
-            for row in sorted(rows, key=lambda r: (r["partition"], r["offset"])):
-                n, at = n + 1, row["at_ms"]
-                current.update({a: row[a] for a in names if row[a] is not None})
-                if n % every == 0:
-                    shown = {a: new.get(a) if v is None else v for a, v in current.items()}
-                    yield Row(
-                        order_id=row["order_id"],
-                        partition=row["partition"],
-                        offset=row["offset"],
-                        version=row["version"],
-                        snapshot_at=row["occurred_at"],
-                        **shown,
-                    )
-            self._order.update((n, *[current[a] for a in names]))
-            if keep_ms is not None:
-                for due in list(self._handle.listTimers()):
-                    self._handle.deleteTimer(due)
-                if current["status"] in finished:
-                    self._handle.registerTimer(at + keep_ms)
-
-        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-            self._order.clear()
-            return iter(())
-
-        def close(self) -> None:
-            pass
-
-    return Snapshots()
+    def step(key, stored, due, rows, now):
+        n, *values = stored or (0, *[None] * len(names))
+        current = dict(zip(names, values))
+        for row in sorted(rows, key=lambda r: (r.partition, r.offset)):
+            n += 1
+            for name in names:
+                value = getattr(row, name)
+                if value is not None:
+                    current[name] = value
+            if n % every == 0:
+                shown = [new.get(a) if v is None else v for a, v in current.items()]
+                yield row.order_id, row.partition, row.offset, row.version, row.at, *shown
+        due = row.at // 1000 + keep_ms if keep_ms is not None and current["status"] in finished else None
+        return (n, *current.values()), due
+
+    def expire(key, stored, due):
+        return None
+        yield
+
+    return step, expire
 
 
 def snapshot_stream(
@@ -82,22 +60,20 @@ def snapshot_stream(
     every: int = SNAPSHOT_EVERY,
     keep_seconds: int | None = None,
     watermark: str = WATERMARK,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Snapshots as the events arrive; the same rows the batch form computes.
 
     With ``keep_seconds``, a delivered or cancelled order leaves the state when event time
-    is that much past its last event; events must then come within the watermark.
+    is that much past its last event; events must then come within the watermark. With
+    ``buckets`` many orders share an entry of the state, see ``keyed``.
     """
-    rows = contributions(events).withColumn("at_ms", F.unix_millis("occurred_at"))
-    if keep_seconds is not None:
-        rows = rows.withWatermark("occurred_at", watermark)
     kept = ["order_id", "partition", "offset", "version"]
-    output = rows.select(
-        *kept, F.col("occurred_at").alias("snapshot_at"), *ATTRIBUTES
-    ).schema
-    return rows.groupBy("order_id").transformWithState(
-        statefulProcessor=_snapshots(every, None if keep_seconds is None else keep_seconds * 1000),
-        outputStructType=output,
-        outputMode="Append",
-        timeMode="None" if keep_seconds is None else "EventTime",
-    )
+    rows = contributions(events).select(*kept, F.unix_micros("occurred_at").alias("at"), *ATTRIBUTES, "occurred_at")
+    step, expire = _snapshots(every, None if keep_seconds is None else keep_seconds * 1000)
+    times = {} if keep_seconds is None else {"expire": expire, "time": "occurred_at", "watermark": watermark}
+    if not times:
+        rows = rows.drop("occurred_at")
+    output = rows.drop("occurred_at").withColumnRenamed("at", "snapshot_at").schema
+    found = with_state(rows, ["order_id"], step, output, "order", buckets=buckets, **times)
+    return found.withColumn("snapshot_at", F.timestamp_micros("snapshot_at"))
