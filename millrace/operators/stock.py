@@ -37,8 +37,9 @@ from millrace.runtime import stored, work_folder
 
 RESERVED = "StockReserved"
 OUT_OF_STOCK = "StockOutOfStock"
-#: Entries of a group that one task settles in order.
-GROUP_ROWS = 100_000
+#: Entries of a group that one task settles in order: they stream through, so what a task
+#: holds is a number for each SKU and the accepted orders of one group.
+GROUP_ROWS = 3_000_000
 # Width of a chunk where places are times in microseconds.
 MICROS_PER_CHUNK = 6 * 3600 * 1_000_000
 

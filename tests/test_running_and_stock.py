@@ -172,3 +172,15 @@ def test_components_are_named_by_their_smallest_node(spark):
     got = components(spark.createDataFrame(links, "a int, b int")).collect()
     assert {r.node: r.component for r in got} == {i: 0 for i in range(31)} | {i: 40 for i in (40, 50, 60)}
     assert components(spark.createDataFrame([], "a int, b int")).count() == 0
+
+
+def test_a_group_of_many_entries_needs_no_rounds(spark, monkeypatch):
+    def rounds(*_):
+        raise AssertionError("settled in rounds")
+
+    monkeypatch.setattr(stock_module, "_in_rounds", rounds)
+    order = F.col("id").alias("order_id")
+    asked = spark.range(150_000).select(order, F.col("id").alias("offset"), F.lit(0).alias("line_no"), F.lit("a").alias("sku"), F.lit(1).alias("quantity"))
+    stock = spark.createDataFrame([("a", 149_000)], "sku STRING, quantity BIGINT")
+    found = stock_module.reserve(asked, stock).groupBy("event_type").count().collect()
+    assert {r.event_type: r["count"] for r in found} == {"StockReserved": 149_000, "StockOutOfStock": 1_000}
