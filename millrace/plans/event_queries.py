@@ -18,9 +18,9 @@ from millrace.runtime import ROCKSDB_PROVIDER, stored, work_folder
 from millrace.sources.envelope import file_stream
 from millrace.streaming import stock as stock_ledger
 from millrace.streaming.dashboard import dashboard_stream, read_dashboard
-from millrace.streaming.joins import paid_items
 from millrace.streaming.keyed import BUCKETS
 from millrace.streaming.orchestrator import saga_commands
+from millrace.streaming.paid import paid_items_stream, read_paid_items
 from millrace.streaming.sinks import append_table
 from millrace.streaming.snapshots import snapshot_stream
 
@@ -549,7 +549,6 @@ _PAID_ITEMS = """SELECT l_orderkey AS order_id, l_partkey AS sku, CAST(l_quantit
 def paid_items_streamed(spark: SparkSession, folder: str) -> DataFrame:
     """Items of paid orders from two streams: a payment arrives in a batch before, with or
     after that of its order. Some orders are not paid, some too late, some twice."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     work = work_folder(spark, "paid")
     order = F.col("order_id")
     item = F.struct("l_linenumber", F.col("l_partkey").alias("sku"), F.col("l_quantity").cast("int").alias("quantity"))
@@ -569,9 +568,10 @@ def paid_items_streamed(spark: SparkSession, folder: str) -> DataFrame:
     orders = inputs.arriving(created, order % 3, 3, f"{work}/created")
     payments = inputs.arriving(paid, F.floor(order / 3) % 3, 3, f"{work}/payments")
     for left, right in zip(orders, payments):
-        joined = paid_items(left, right, within_seconds=15 * 60, watermark="4 hours")
-        append_table(joined, f"{work}/table", f"{work}/checkpoint", every=None).awaitTermination()
-    items = spark.read.parquet(f"{work}/table").select("order_id", "paid_at", F.explode("items").alias("i"))
+        paid_items_stream(
+            left, right, f"{work}/table", f"{work}/checkpoint", within_seconds=15 * 60, watermark="4 hours", every=None
+        ).awaitTermination()
+    items = read_paid_items(spark, f"{work}/table").select("order_id", "paid_at", F.explode("items").alias("i"))
     return plain_times(items.select("order_id", "i.sku", "i.quantity", "paid_at"))
 
 

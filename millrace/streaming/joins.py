@@ -74,7 +74,8 @@ def paid_items(
     ``created``: order_id, items, created_at; ``payments``: order_id, paid_at, partition,
     offset. Either may arrive first; a stream keeps it until the watermark has passed the
     interval, so orders that nobody pays leave the state. Of repeated payments that are
-    less than the watermark delay apart one counts.
+    less than the watermark delay apart one counts. For micro-batches of many rows see
+    ``paid.paid_items_stream``.
     """
     lefts = created.select("order_id", "items", "created_at")
     rights = payments.select("order_id", "paid_at", "partition", "offset")
