@@ -11,7 +11,8 @@ the verdict of the request, so an order's two entries together never add stock.
 Orders that share no SKU, not even by way of others, do not touch each other: the SKUs
 fall into groups, the connected components of the orders. A group of at most
 ``GROUP_ROWS`` entries is settled by one pass over its entries in order; a task passes over
-many groups, one after the other.
+many groups, one after the other. The stock of a group comes first among its rows, so the
+entries are shuffled once, by group, where no order has several SKUs.
 
 Larger groups are settled in rounds over all their SKUs at once. For every undecided order
 two running totals per SKU bound what earlier orders have taken: only those already
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +48,8 @@ MICROS_PER_CHUNK = 6 * 3600 * 1_000_000
 _PLACE = ["at", "partition", "offset"]
 _ORDER = [*_PLACE, "order_id", "kind"]
 REQUEST, RELEASE, RETURNED = "request", "release", "returned"
+# The kinds in the order of their names, behind the opening stock.
+_STOCK, _RELEASE, _REQUEST, _RETURNED = range(4)
 _BEFORE_ALL = -(1 << 62)
 
 
@@ -88,6 +92,7 @@ def reserve(
     releases: DataFrame | None = None,
     at_per_chunk: int = OFFSETS_PER_CHUNK,
     returned: DataFrame | None = None,
+    store: bool = True,
 ) -> DataFrame:
     """``order_id, offset, event_type, missing_sku`` for every order.
 
@@ -95,11 +100,10 @@ def reserve(
     quantity. ``releases``: order_id and the places at which a cancelled order gives
     back what it had reserved. ``returned``: order_id, place, sku and quantity that come
     back from orders decided before. A place is ``at, partition, offset``, or ``offset`` alone.
+    All of these are read three times or more, and so stored once, unless not to ``store`` them
+    costs less: they are then stored tables already, little more than read.
     """
-    # Two lines of one SKU ask for their sum.
-    lines = _placed(demands).groupBy("order_id", *_PLACE, "sku").agg(
-        F.sum("quantity").cast("bigint").alias("delta"), F.min("line_no").alias("line_no")
-    )
+    lines = _placed(demands).withColumn("delta", F.coalesce(F.col("quantity").cast("bigint"), F.lit(0)))
     columns = ["sku", *_PLACE, "order_id", "line_no", "delta", "kind"]
     entries = lines.withColumn("kind", F.lit(REQUEST)).select(columns)
     if releases is not None:
@@ -109,17 +113,39 @@ def reserve(
             {"delta": (-F.col("quantity")).cast("bigint"), "kind": F.lit(RETURNED), "line_no": F.lit(None).cast("int")}
         )
         entries = entries.unionByName(back.select(columns))
-    entries = stored(entries, "stock-entries")
+    entries = entries.filter(F.col("sku").isNotNull())
+    if store:
+        entries = stored(entries, "stock-entries")
 
-    placed = stored(_grouped(entries), "stock-groups")
-    small = F.col("n") <= GROUP_ROWS
-    quantities = stock.select("sku", F.col("quantity").cast("bigint").alias("quantity"))
-    outcomes = _in_order(placed.filter(small).join(quantities, "sku", "left"), demands.schema)
-    large = placed.filter(~small).drop("g", "n")
+    groups = _groups(entries)
+
+    def grouped(df: DataFrame) -> DataFrame:
+        """``df`` with ``g``, the group of its SKU."""
+        if groups is None:
+            return df.withColumn("g", F.col("sku"))
+        return df.join(groups, "sku", "left").withColumn("g", F.coalesce("component", "sku")).drop("component")
+
+    quantities = grouped(
+        stock.select(
+            F.col("sku").cast(entries.schema["sku"].dataType).alias("sku"), F.col("quantity").cast("bigint").alias("quantity")
+        )
+    )
+    sizes = grouped(entries.groupBy("sku").agg(F.count("*").alias("_n"))).groupBy("g").agg(F.sum("_n").alias("n"))
+    # A row for each GROUP_ROWS entries at most.
+    large = stored(sizes.filter(F.col("n") > GROUP_ROWS).select("g"), "stock-large")
+    entries = grouped(entries)
     if large.isEmpty():
-        return outcomes
-    theirs = quantities.join(large.select("sku").distinct(), "sku", "left_semi")
-    return outcomes.unionByName(_in_rounds(large, theirs, at_per_chunk))
+        return _in_order(entries, quantities, demands.schema)
+    large = F.broadcast(large)
+    outcomes = _in_order(
+        entries.join(large, "g", "left_anti"), quantities.join(large, "g", "left_anti"), demands.schema
+    )
+    # Two lines of one SKU ask for their sum.
+    theirs = entries.join(large, "g", "left_semi").groupBy("sku", *_PLACE, "order_id", "kind").agg(
+        F.sum("delta").alias("delta"), F.min("line_no").alias("line_no")
+    )
+    balances = quantities.join(large, "g", "left_semi").drop("g")
+    return outcomes.unionByName(_in_rounds(theirs.select(columns), balances, at_per_chunk))
 
 
 def movements(
@@ -139,73 +165,99 @@ def movements(
     return out
 
 
-def _grouped(entries: DataFrame) -> DataFrame:
-    """Entries with ``g``, the group of their SKU, and ``n``, the entries of that group."""
+def _groups(entries: DataFrame) -> DataFrame | None:
+    """``sku, component`` of the SKUs that orders link to others; None if no order does."""
     asked = entries.filter(F.col("kind") == REQUEST)
     first = asked.groupBy("order_id").agg(F.min("sku").alias("a"), F.max("sku").alias("_last"))
-    links = (
-        asked.join(first.filter("a <> _last"), "order_id")
-        .filter("sku <> a")
-        .select("a", F.col("sku").alias("b"))
-        .distinct()
-    )
-    per_sku = entries.groupBy("sku").agg(F.count("*").alias("_n"))
-    groups = components(links).withColumnRenamed("node", "sku")
-    named = per_sku.join(groups, "sku", "left").withColumn("g", F.coalesce("component", "sku"))
-    sizes = named.groupBy("g").agg(F.sum("_n").alias("n"))
-    return entries.join(named.select("sku", "g").join(sizes, "g"), "sku")
+    several = stored(first.filter("a <> _last").select("order_id", "a"), "stock-several")
+    if several.isEmpty():
+        return None
+    links = asked.join(several, "order_id").filter("sku <> a").select("a", F.col("sku").alias("b")).distinct()
+    return components(links).withColumnRenamed("node", "sku")
 
 
-def _in_order(entries: DataFrame, types) -> DataFrame:
+def _in_order(entries: DataFrame, stock: DataFrame, types) -> DataFrame:
     """Outcomes of small groups, each by one pass over its entries."""
+    names = ["g", *_ORDER, "sku", "delta", "line_no"]
+
+    def values(column: pa.Array) -> list:
+        """The values of a column; whole numbers take the short way, by numpy."""
+        if not pa.types.is_integer(column.type):
+            return column.to_pylist()
+        found = column.fill_null(0).to_numpy().tolist()
+        if column.null_count:
+            for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)):
+                found[i] = None
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, now, lines, left, held, done = object(), None, [], {}, set(), []
+        # ``now``: place, order, kind and group that the lines in ``asked`` belong to.
+        now, asked, left, held = (None,) * 6, {}, {}, set()
+        orders, offsets, missing = [], [], []
 
         def settle() -> None:
-            place, order, kind = now
-            if kind == RETURNED or (kind == RELEASE and order in held):
-                held.discard(order)
-                for sku, delta, _, _ in lines:
-                    left[sku] -= delta
-            if kind == REQUEST:
-                lacking = [(line, sku) for sku, delta, line, _ in lines if left[sku] < delta]
+            order, kind = now[3], now[4]
+            if kind == _REQUEST:
+                lacking = [(line, sku) for sku, (delta, line) in asked.items() if left.get(sku, 0) < delta]
+                orders.append(order)
+                offsets.append(now[2])
+                missing.append(min(lacking)[1] if lacking else None)
                 if lacking:
-                    done.append((order, place[2], OUT_OF_STOCK, min(lacking)[1]))
                     return
                 held.add(order)
-                for sku, delta, _, _ in lines:
-                    left[sku] -= delta
-                done.append((order, place[2], RESERVED, None))
+            elif kind == _RELEASE and order not in held:
+                return
+            else:
+                held.discard(order)
+            for sku, (delta, _) in asked.items():
+                left[sku] = left.get(sku, 0) - delta
 
         def rows() -> pa.RecordBatch:
-            names = ["order_id", "offset", "event_type", "missing_sku"]
-            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*done), kinds)], names)
+            events = [RESERVED if sku is None else OUT_OF_STOCK for sku in missing]
+            columns = zip((orders, offsets, events, missing), kinds)
+            return pa.record_batch(
+                [pa.array(c, t) for c, t in columns], ["order_id", "offset", "event_type", "missing_sku"]
+            )
 
         kinds: list[pa.DataType] = []
         for batch in batches:
             at = dict(zip(batch.schema.names, batch.columns))
             kinds = [at["order_id"].type, pa.int64(), pa.string(), at["sku"].type]
-            columns = [at[c].to_pylist() for c in ("g", *_ORDER, "sku", "delta", "line_no", "quantity")]
-            for g, *place, order, kind, sku, delta, line, quantity in zip(*columns):
-                if (tuple(place), order, kind) != now or g != group:
-                    if lines:
+            columns = [values(at[c]) for c in names]
+            for g, when, partition, offset, order, kind, sku, delta, line in zip(*columns):
+                entry = (when, partition, offset, order, kind, g)
+                if entry != now:
+                    if asked:
                         settle()
-                    now, lines = (tuple(place), order, kind), []
-                    if g != group:
-                        group, left, held = g, {}, set()
-                lines.append((sku, delta, line, quantity))
-                left.setdefault(sku, quantity or 0)
-            if len(done) > 1 << 14:
+                        asked = {}
+                    if g != now[5]:
+                        left, held = {}, set()
+                    now = entry
+                if kind == _STOCK:
+                    left[sku] = left.get(sku, 0) + (delta or 0)
+                elif sku in asked:
+                    # Two lines of one SKU ask for their sum; the first one names it.
+                    before = asked[sku]
+                    asked[sku] = (before[0] + delta, line if before[1] is None else before[1])
+                else:
+                    asked[sku] = (delta, line)
+            if len(orders) > 1 << 14:
                 yield rows()
-                done = []
-        if lines:
+                orders, offsets, missing = [], [], []
+        if asked:
             settle()
-        if done:
+        if orders:
             yield rows()
 
     kind = {f.name: f.dataType.simpleString() for f in types}
-    ordered = entries.repartition("g").sortWithinPartitions("g", *_ORDER, "line_no")
+    code = F.when(F.col("kind") == RELEASE, _RELEASE).when(F.col("kind") == REQUEST, _REQUEST).otherwise(_RETURNED)
+    opening = stock.select(
+        "g", *[F.lit(_BEFORE_ALL).cast("bigint").alias(c) for c in _PLACE],
+        F.lit(None).cast(entries.schema["order_id"].dataType).alias("order_id"), F.lit(_STOCK).alias("kind"),
+        "sku", F.col("quantity").alias("delta"), F.lit(0).cast(entries.schema["line_no"].dataType).alias("line_no"),
+    )
+    every = entries.withColumn("kind", code).select(names).unionByName(opening)
+    ordered = every.repartition("g").sortWithinPartitions("g", F.col("kind") != _STOCK, *_ORDER, "line_no")
     return ordered.mapInArrow(
         run, f"order_id {kind['order_id']}, offset bigint, event_type string, missing_sku {kind['sku']}"
     )

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.operators import eventlog, saga
 from millrace.operators.dedup import once_per_event
-from millrace.operators.running import Running, numbered, offset_chunk, running
 from millrace.operators.stock import RESERVED, demands_of_paid_orders, reserve
 from millrace.plans import inputs
 from millrace.plans.cdc_queries import duplicated
@@ -156,31 +155,30 @@ _STOCK = f"""WITH RECURSIVE l AS (SELECT *, row_number() OVER (PARTITION BY sku
 
 
 def single_sku_demands(lineitem: DataFrame) -> DataFrame:
-    """Order lines as one-line orders with a global place.
+    """Order lines as one-line orders with a global place, read from a stored table.
 
-    The place of a line is its rank. Ranks come from the order key first: lines before
-    the key (a running sum of counts per key), then the rank within the key, counted in
-    chunks of parts.
+    The place of a line is its rank. The lines are sorted in ranges, and stored with their
+    number within the range; the lines of the ranges before come on top. Ranges are cut by
+    all columns of the order, so many lines of one order are spread over them.
     """
     order = ["l_orderkey", "l_partkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_suppkey", "l_quantity"]
-    per_key = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("_n"))
-    placed = running(
-        per_key.withColumn("_all", F.lit(0)), ["_all"], ["l_orderkey"],
-        offset_chunk(F.col("l_orderkey"), 100_000), Running(sums={"_upto": F.col("_n")}),
-    ).select("l_orderkey", (F.col("_upto") - F.col("_n")).alias("_before"))
-    ranked = numbered(
-        lineitem, ["l_orderkey"], order[1:], offset_chunk(F.col("l_partkey"), 100_000), "_rank"
+    lines = lineitem.filter("l_orderkey IS NOT NULL AND l_partkey IS NOT NULL").select(order)
+    sorted_lines = lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    # The id that Spark gives a row: its partition, and in the lower 33 bits its number there.
+    placed = stored(
+        sorted_lines.select(
+            F.monotonically_increasing_id().alias("_id"), "l_partkey", F.col("l_quantity").cast("bigint").alias("quantity")
+        ),
+        "stock-lines",
+    ).withColumn("_range", F.shiftright("_id", 33))
+    # One row for each range.
+    earlier = Window.partitionBy(F.lit(0)).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = placed.groupBy("_range").agg(F.count("*").alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
     )
-    return (
-        ranked
-        .join(placed, "l_orderkey")
-        .select(
-            (F.col("_before") + F.col("_rank")).alias("order_id"),
-            (F.col("_before") + F.col("_rank")).alias("offset"),
-            F.lit(0).alias("line_no"),
-            F.col("l_partkey").alias("sku"),
-            F.col("l_quantity").cast("bigint").alias("quantity"),
-        )
+    place = F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return placed.join(F.broadcast(stored(before, "stock-ranges")), "_range").select(
+        place.alias("order_id"), place.alias("offset"), F.lit(0).alias("line_no"), F.col("l_partkey").alias("sku"), "quantity"
     )
 
 
@@ -191,7 +189,7 @@ def stock_decisions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_partkey").alias("sku"), (F.col("p_partkey") % 100 + 500).alias("quantity")
     )
     demands = single_sku_demands(table(spark, folder, "lineitem"))
-    return reserve(demands, stock).select("offset", "event_type", "missing_sku")
+    return reserve(demands, stock, store=False).select("offset", "event_type", "missing_sku")
 
 
 @query(

@@ -1,4 +1,5 @@
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from millrace.operators.running import Running, numbered, offset_chunk, running
 from millrace.operators import stock as stock_module
 from millrace.operators.components import components
 from millrace.operators.stock import demands_of_paid_orders, reserve
+from millrace.plans.event_queries import single_sku_demands
 
 
 def test_running_equals_brute_force_with_a_hot_key(spark):
@@ -184,3 +186,37 @@ def test_a_group_of_many_entries_needs_no_rounds(spark, monkeypatch):
     stock = spark.createDataFrame([("a", 149_000)], "sku STRING, quantity BIGINT")
     found = stock_module.reserve(asked, stock).groupBy("event_type").count().collect()
     assert {r.event_type: r["count"] for r in found} == {"StockReserved": 149_000, "StockOutOfStock": 1_000}
+
+
+def test_entries_of_one_sku_orders_are_shuffled_once_and_joined_with_nothing(spark, tmp_path):
+    """A SKU that is not in stock has none; the stock of a SKU may come in parts; of
+    several lines of one SKU the sum counts."""
+    lines = [(o, o, n, o % 4, 2) for o in range(40) for n in range(2)]
+    demands = spark.createDataFrame(lines, "order_id INT, offset BIGINT, line_no INT, sku INT, quantity INT")
+    demands.write.parquet(f"{tmp_path}/demands")
+    demands = spark.read.parquet(f"{tmp_path}/demands")
+    stock = spark.createDataFrame([(0, 10), (0, 6), (1, 7), (2, None), (9, 5)], "sku BIGINT, quantity INT")
+    got = stock_module.reserve(demands, stock, store=False)
+    taken = {0: 4, 1: 1, 2: 0, 3: 0}
+    want = {o: None if o // 4 < taken[o % 4] else o % 4 for o in range(40)}
+    assert {r.order_id: r.missing_sku for r in got.collect()} == want
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_places_of_lines_are_their_ranks(spark):
+    rng, start = random.Random(2), datetime(2024, 1, 1)
+    rows = [
+        (rng.choice([5, 5, 5, rng.randrange(300)]), rng.randrange(9), rng.randrange(3), start, 1.0 * i, rng.randrange(5), 2.0)
+        for i in range(3000)
+    ]
+    names = "l_orderkey BIGINT, l_partkey BIGINT, l_linenumber INT, l_shipdate TIMESTAMP, l_extendedprice DOUBLE, l_suppkey BIGINT, l_quantity DOUBLE"
+    missing = [(None, 1, 1, start, 1.0, 1, 1.0), (1, None, 1, start, 1.0, 1, 1.0)]
+    found = single_sku_demands(spark.createDataFrame(rows + missing, names))
+    got = [(r.order_id, r.sku) for r in found.select("order_id", "sku").collect()]
+    assert sorted(got) == [(i + 1, r[1]) for i, r in enumerate(sorted(rows))]
+    # The lines themselves are shuffled, by ranges, before they are stored: no more after.
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning" not in plan
